@@ -2,21 +2,51 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plinth.llm import chat, mixing, sharding, urlfilter
+from plinth.llm import chat, embedding_dedup, minhash, mixing, packing, quality, sharding, urlfilter
+from plinth.llm.store import materialise
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "chars_apart", "words_apart")
+
+
+#: The file of the tokenizer that packing counts by.
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Where each piece of docs (doc_id, text) goes, without the tokens themselves."""
+    pieces = packing.tokenise(docs, WORD_TOKENIZER)
+    narrow = pieces.select("doc_id", "piece", "start", "length", F.crc32("tokens").alias("ids_crc32"))
+    return packing.assign(materialise(narrow), ["doc_id", "piece", "ids_crc32"])
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_copies(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return urlfilter.judge(pages, urlfilter.train(urlfilter.labelled_urls(spark))).select("page_id", "host", "path", "rule", "verdict")
@@ -53,7 +83,11 @@ def op10_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_mix_sources": op2_mix_sources,
+    "op3_quality_rules": op3_quality_rules,
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_url_filter": op6_url_filter,
     "op7_chat_format": op7_chat_format,
     "op10_hash_tree_shards": op10_hash_tree_shards,
