@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plinth.llm import chat, embedding_dedup, minhash, mixing, packing, quality, sharding, urlfilter
+from plinth.llm import chat, embedding_dedup, licences, minhash, mixing, packing, quality, sharding, tokencount, urlfilter
 from plinth.llm.store import materialise
 
 
@@ -78,6 +78,27 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The file whose pieces and scores are the unigram vocabulary.
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), PIECES)
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document; several matches are joined by commas, in order of place."""
+    found = licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    joined = lambda what: F.array_join(F.transform("matches", what), ",")
+    return found.select(
+        "doc_id",
+        F.size("matches").cast("long").alias("n_matches"),
+        joined(lambda m: m["licence"]).alias("licences"),
+        joined(lambda m: m["rule"]).alias("rules"),
+        joined(lambda m: F.concat(m["start"].cast("string"), F.lit("-"), m["end"].cast("string"))).alias("spans"),
+    )
+
+
 def op10_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -90,6 +111,8 @@ QUERIES = {
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_url_filter": op6_url_filter,
     "op7_chat_format": op7_chat_format,
+    "op8_token_counts": op8_token_counts,
+    "op9_license_scan": op9_license_scan,
     "op10_hash_tree_shards": op10_hash_tree_shards,
 }
 
