@@ -1,4 +1,450 @@
-"""The registered queries and the SQL that each must agree with."""
+"""The registered queries and the SQL that each must agree with.
+
+The driver's tables stand in for the engine's own: pages for crawled pages, documents
+for page texts (source as site, doc_id as page), orders, customers, suppliers and events
+for record snapshots. Samples are invented pages for what no table exercises.
+"""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from plinth.functions import text, urls
+from plinth.operators import crawl, emails, export, leases, links, practice, profile, runs, state
+from plinth.plans import samples
+from plinth.sources.files import parse_bool, table
+from plinth.sources.schemas import PROFILES, fit
 
 QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+ORACLE_SQL: dict[str, str] = {}
+AS_OF = datetime(2024, 1, 1)
+
+
+def query(sql: str | None = None):
+    """Registers a function under its name, with the SQL for its rows if there is any."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def values(rows) -> str:
+    """A SQL VALUES list."""
+    quote = lambda x: "'" + x.replace("'", "''") + "'" if isinstance(x, str) else str(x)
+    return "(VALUES " + ", ".join("(" + ", ".join(map(quote, r)) + ")" for r in rows) + ")"
+
+
+def _case_priority(p: str) -> str:
+    arms = " ".join(f"WHEN {' OR '.join(f'contains({p}, ' + chr(39) + w + chr(39) + ')' for w in words)} THEN {value}" for value, words in urls.PRIORITIES)
+    return f"CASE WHEN {p} = '' THEN 0 {arms} ELSE 60 END"
+
+
+_HOST = "regexp_replace(lower(regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1)), '^www\\.', '')"
+_URLPATH = "regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1)"
+
+
+def _practice_sql(kinds: tuple[str, ...]) -> str:
+    hints = [(kind, side, h, p) for kind, side, h, p in practice.HINTS if kind in kinds]
+    shown = "html"
+    for tag in ("script", "style", "noscript", "svg"):
+        shown = f"regexp_replace({shown}, '(?s)<{tag}[^>]*>.*?</{tag}>', ' ', 'g')"
+    shown = f"lower(regexp_replace(regexp_replace(regexp_replace({shown}, '(?s)<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g'))"
+    return f"""
+WITH p AS (SELECT {_HOST} AS site, lower({_URLPATH}) AS path, lower(regexp_replace(url, '/+$', '')) AS k, {shown if 'text' in kinds else "''"} AS shown, url, page_id FROM pages),
+u AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY site, k ORDER BY page_id, url) AS rn FROM p) WHERE rn = 1),
+h(kind, side, hint, points) AS (SELECT * FROM {values(hints)} AS t(kind, side, hint, points)),
+hit AS (SELECT DISTINCT site, kind, side, hint, points FROM u, h WHERE contains(CASE WHEN kind = 'url' THEN path ELSE shown END, hint)),
+s AS (SELECT site, sum(CASE WHEN side = 'group' THEN points ELSE 0 END) AS g, sum(CASE WHEN side = 'private' THEN points ELSE 0 END) AS q FROM hit GROUP BY site),
+c AS (SELECT site, count(*) AS n FROM u GROUP BY site),
+z AS (SELECT c.site, n, ends_with(c.site, '.org') AS org, coalesce(g, 0) AS hg,
+  coalesce(g, 0) + CASE WHEN n >= 12 THEN 30 ELSE 0 END + CASE WHEN ends_with(c.site, '.org') THEN 20 ELSE 0 END AS gs,
+  coalesce(q, 0) + CASE WHEN n <= 3 THEN 45 WHEN n < 12 THEN 25 ELSE 0 END AS ps FROM c LEFT JOIN s USING (site)),
+d AS (SELECT *, gs >= ps AND (org OR hg > 0 OR n >= 20) AS is_group FROM z),
+w AS (SELECT *, CASE WHEN is_group THEN gs ELSE ps END AS win, CASE WHEN is_group THEN ps ELSE gs END AS lose FROM d)
+SELECT site AS site_id, CAST(n AS BIGINT) AS n_pages, CASE WHEN is_group THEN 'group_practice' ELSE 'private_practice' END AS category,
+  CAST(greatest(50, least(100, 50 + least(35, floor(win / 2.0)) + least(15, floor((win - lose) / 3.0)))) AS INTEGER) AS category_score FROM w"""
+
+
+@query(_practice_sql(("url",)))
+def practice_by_host(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1, G3-G5, G7, G8 by the addresses alone: native, only the column url is read."""
+    pages = table(spark, sf_dir, "pages").select(urls.site_host(F.col("url")).alias("site_id"), F.col("page_id").alias("seq"), F.col("url").alias("page_url"))
+    own = practice.unique_pages(pages)
+    found = own.select("site_id", practice.hits(F.lower(urls.path_only(F.col("page_url"))), F.lit("")).alias("h"))
+    counted = found.groupBy("site_id").agg(F.count(F.lit(1)).alias("n_pages"), F.sort_array(F.array_distinct(F.flatten(F.collect_set("h")))).alias("hints"))
+    return practice.decide(counted.withColumn("org", F.col("site_id").endswith(".org"))).select("site_id", "n_pages", "category", "category_score")
+
+
+@query(f"SELECT site_id, category, category_score FROM ({_practice_sql(('url', 'text'))})")
+def practice_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1-G9 with texts."""
+    raw = table(spark, sf_dir, "pages")
+    pages = raw.select(urls.site_host(F.col("url")).alias("site_id"), F.col("page_id").alias("seq"), F.col("url").alias("page_url"), "html")
+    sites = raw.select(urls.site_host(F.col("url")).alias("site_id")).distinct().withColumn("website_url", F.concat(F.lit("https://"), "site_id"))
+    return practice.classify(pages, sites).select("site_id", "category", "category_score")
+
+
+@query(f"""SELECT page_id, lower(regexp_extract(url, '^([a-zA-Z]+)://', 1)) || '://' || lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#]*)', 1)) || CASE WHEN {_URLPATH} = '' THEN '/' ELSE {_URLPATH} END
+  || CASE WHEN regexp_extract(url, '\\?([^#]*)', 1) = '' THEN '' ELSE '?' || regexp_extract(url, '\\?([^#]*)', 1) END AS normalized,
+  {_HOST} AS site_host, replace({_HOST}, '.', '_') AS directory FROM pages""")
+def url_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1, C3, C6."""
+    u = F.col("url")
+    return table(spark, sf_dir, "pages").select("page_id", urls.normalize_url(u).alias("normalized"), urls.site_host(u).alias("site_host"), urls.directory_name(u).alias("directory"))
+
+
+_ENDS = ["", "contact-us", "appointments", "about/me", "meet", "our-services", "areas", "the-team", "faq", "privacy-questions", "terms", "postpartum", "blog", "facebook", "steam", "other"]
+
+
+@query(f"""WITH t AS (SELECT page_id, e, e AS p FROM pages, (SELECT * FROM {values([(e,) for e in _ENDS])} AS v(e)))
+SELECT page_id, e AS ending, CAST({_case_priority('p')} AS INTEGER) AS priority FROM t""")
+def url_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's host with each of a list of paths."""
+    ends = F.explode(F.array(*(F.lit(e) for e in _ENDS))).alias("ending")
+    rows = table(spark, sf_dir, "pages").select("page_id", urls.hostname(F.col("url")).alias("h"), ends)
+    return rows.select("page_id", "ending", urls.url_priority(F.concat(F.lit("https://"), "h", F.lit("/"), "ending", F.lit("/"))).alias("priority"))
+
+
+@query(f"""SELECT page_id, TRUE AS same_site, starts_with(regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1), 'www.') AS same_netloc,
+  'https://' || regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1) AS cleaned FROM pages""")
+def url_same_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page against the www form of its site."""
+    u = F.col("url")
+    other = F.concat(F.lit("https://www."), urls.site_host(u))
+    return table(spark, sf_dir, "pages").select("page_id", urls.is_same_site(u, F.concat(other, F.lit(":8080/"))).alias("same_site"), urls.same_netloc(u, other).alias("same_netloc"), urls.clean_website_url(urls.netloc(u)).alias("cleaned"))
+
+
+_PREFIXES = ["", "www.", "providers.", "not", "x-"]
+
+
+@query(f"""WITH d(domain) AS (SELECT * FROM {values([(d,) for d in urls.DIRECTORY_DOMAINS])} AS t(domain)), q(prefix) AS (SELECT * FROM {values([(p,) for p in _PREFIXES])} AS t(prefix)),
+a AS (SELECT DISTINCT prefix || domain AS host FROM d, q UNION SELECT DISTINCT lower(regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1)) FROM pages)
+SELECT host, CASE WHEN EXISTS (SELECT 1 FROM d WHERE host = domain OR ends_with(host, '.' || domain)) THEN 'directory' ELSE 'owned_website' END AS destination_type FROM a""")
+def destination_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C13."""
+    made = spark.createDataFrame([(p + d,) for p in _PREFIXES for d in urls.DIRECTORY_DOMAINS], "host string")
+    hosts = made.union(table(spark, sf_dir, "pages").select(urls.hostname(F.col("url")))).distinct()
+    return hosts.select("host", urls.destination_type(F.concat(F.lit("https://"), "host", F.lit("/"))).alias("destination_type"))
+
+
+_CODES = ["ca", "ny", "dc", "zz", "nh"]
+
+
+@query(f"""WITH t AS (SELECT n_nationkey AS k, n_name, split_part('{",".join(_CODES)}', ',', CAST(n_nationkey % 5 + 1 AS INTEGER)) AS code FROM nation)
+SELECT k, CASE code WHEN 'ca' THEN 'California' WHEN 'ny' THEN 'New York' WHEN 'dc' THEN 'District of Columbia' WHEN 'nh' THEN 'New Hampshire' ELSE 'ZZ' END AS state,
+  list_aggregate(list_transform(string_split(replace(lower(n_name), '_', ' '), ' '), lambda x: upper(x[1]) || x[2:]), 'string_agg', ' ') AS city,
+  CAST(k AS VARCHAR) AS profile_id, 'PT:' || CAST(k AS VARCHAR) AS source_profile_id, TRUE AS is_profile, FALSE AS listing_is_profile,
+  'https://out.psychologytoday.com/us/profile/' || CAST(k AS VARCHAR) || '/website-redirect' AS endpoint FROM t""")
+def directory_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing and profile addresses made from nations."""
+    code = F.element_at(F.array(*(F.lit(c) for c in _CODES)), (F.col("n_nationkey") % 5 + 1).cast("int"))
+    root = F.concat(F.lit("https://www.psychologytoday.com/us/therapists/"), code, F.lit("/"), F.replace(F.replace(F.lower("n_name"), F.lit(" "), F.lit("-")), F.lit("_"), F.lit("-")))
+    rows = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"), root.alias("root"))
+    place, own = urls.directory_location(F.col("root")), F.concat("root", F.lit("/someone/"), F.col("k").cast("string"), F.lit("/"))
+    redirect = F.concat(F.lit("https://www.psychologytoday.com/us/profile/"), F.col("k").cast("string"), F.lit("/website"))
+    return rows.select(
+        "k", place["state"].alias("state"), place["city"].alias("city"), urls.profile_id(own).alias("profile_id"), urls.source_profile_id(own).alias("source_profile_id"),
+        urls.is_profile_url(own, F.col("root")).alias("is_profile"), urls.is_profile_url(F.col("root"), F.col("root")).alias("listing_is_profile"), urls.redirect_endpoint(redirect).alias("endpoint"),
+    )
+
+
+@query("""SELECT o_orderkey AS k, CASE WHEN o_orderkey % 7 IN (1, 2, 3) AND o_orderkey % 3 <> 0 THEN 'https://site' || CAST(o_orderkey AS VARCHAR) || '.test/x' END AS website_url,
+  CASE WHEN o_orderkey % 7 NOT IN (1, 2, 3) THEN 'outbound endpoint returned unexpected status ' || CAST(CASE o_orderkey % 7 WHEN 0 THEN 200 WHEN 4 THEN 404 WHEN 5 THEN 500 ELSE 304 END AS VARCHAR)
+    WHEN o_orderkey % 3 = 0 THEN 'outbound endpoint returned no Location header' END AS error,
+  o_orderkey % 7 IN (1, 2, 3) AND o_orderkey % 3 <> 0 AS external FROM orders""")
+def redirect_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C15, C17 over captured responses made from orders."""
+    k = F.col("o_orderkey")
+    status = F.element_at(F.array(*(F.lit(s) for s in (200, 301, 302, 307, 404, 500, 304))), (k % 7 + 1).cast("int"))
+    location = F.when(k % 3 != 0, F.concat(F.lit("https://site"), k.cast("string"), F.lit(".test/x")))
+    rows = table(spark, sf_dir, "orders").select(k.alias("k"), urls.redirect_outcome(F.lit("https://out.psychologytoday.com/"), status, location).alias("o"))
+    return rows.select("k", "o.website_url", "o.error", F.coalesce(urls.is_external_website(F.col("o.website_url")), F.lit(False)).alias("external"))
+
+
+@query("""SELECT page_id, href, CAST(count(*) AS BIGINT) AS n FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1)) AS href FROM pages) GROUP BY page_id, href""")
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links of every page, by the parser."""
+    return links.anchors(table(spark, sf_dir, "pages").select("page_id", "html")).groupBy("page_id", "href").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""WITH a AS (SELECT page_id, url, unnest(regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1)) AS href FROM pages),
+r AS (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]*', 0) || regexp_extract(href, '^[^?#]*', 0) AS u FROM a WHERE starts_with(href, '/') AND NOT starts_with(href, '//')
+  UNION ALL SELECT page_id, regexp_extract(href, '^[^#]*', 0) FROM a WHERE href LIKE 'http%' AND {_HOST} = regexp_replace(lower(regexp_extract(href, '^[a-z]+://([^/?#:]*)', 1)), '^www\\.', ''))
+SELECT DISTINCT page_id, CASE WHEN regexp_matches(u, '^[a-z]+://[^/]*/$') THEN u ELSE regexp_replace(u, '/+$', '') END AS link FROM r""")
+def site_internal_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C5, D3."""
+    pages = table(spark, sf_dir, "pages")
+    found = links.anchors(pages.select("page_id", "url", "html")).withColumn("link", urls.normalize_page_url(F.col("href"), F.col("url")))
+    return found.filter((F.col("link") != "") & urls.is_same_site(F.col("url"), F.col("link"))).select("page_id", "link").distinct()
+
+
+_WORDS = ("about me", "the", "contact", "our team", "und", "licensed", "que")
+
+
+@query(f"""SELECT w AS hint, CAST(count(*) FILTER (WHERE contains(lower(text), w)) AS BIGINT) AS documents FROM documents, (SELECT * FROM {values([(w,) for w in _WORDS])} AS t(w)) GROUP BY w""")
+def text_hint_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many texts hold each phrase, in one pass."""
+    low = F.lower("text")
+    one = table(spark, sf_dir, "documents").agg(*(F.count_if(low.contains(w)).alias(f"c{i}") for i, w in enumerate(_WORDS)))
+    return one.select(F.explode(F.array(*(F.struct(F.lit(w).alias("hint"), F.col(f"c{i}").alias("documents")) for i, w in enumerate(_WORDS)))).alias("x")).select("x.*")
+
+
+_PAGE_SQL = "'https://www.' || source || '.test/' || CASE doc_id % 5 WHEN 0 THEN 'contact/' WHEN 1 THEN 'about/' WHEN 2 THEN 'blog/' WHEN 3 THEN 'privacy/' ELSE '' END || CAST(doc_id AS VARCHAR)"
+_SPELLED_SQL = "regexp_replace(regexp_replace(text, '(?i)\\s*(\\[at\\]|\\(at\\)|\\{at\\})\\s*', '@', 'g'), '(?i)\\s*(\\[dot\\]|\\(dot\\)|\\{dot\\})\\s*', '.', 'g')"
+_LISTED = lambda xs: ", ".join(f"'{x}'" for x in xs)
+_OBSERVED_SQL = f"""m AS (SELECT source AS site_id, {_PAGE_SQL} AS page_url, unnest(regexp_extract_all({_SPELLED_SQL}, '(?i)[a-z0-9.!#$%&''*+/=?^_`{{|}}~-]+@[a-z0-9](?:[a-z0-9-]{{0,61}}[a-z0-9])?(?:\\.[a-z0-9](?:[a-z0-9-]{{0,61}}[a-z0-9])?)+')) AS raw FROM documents),
+e AS (SELECT DISTINCT site_id, page_url, lower(trim(raw, ' <>[](){{}}.,;:''"')) AS email FROM m),
+o AS (SELECT site_id, page_url, email FROM e WHERE length(email) <= 254 AND length(split_part(email, '@', 1)) BETWEEN 1 AND 64 AND NOT starts_with(email, '.') AND NOT ends_with(split_part(email, '@', 1), '.')
+  AND NOT contains(split_part(email, '@', 1), '..') AND split_part(email, '@', 1) NOT IN ({_LISTED(emails.REJECTED_PARTS)}) AND split_part(email, '@', 2) NOT IN ({_LISTED(emails.REJECTED_DOMAINS)})
+  AND split_part(email, '.', -1) NOT IN ({_LISTED(emails.ASSET_ENDINGS)}))"""
+
+
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = F.col("doc_id")
+    where = F.element_at(F.array(*(F.lit(x) for x in ("contact/", "about/", "blog/", "privacy/", ""))), (d % 5 + 1).cast("int"))
+    return table(spark, sf_dir, "documents").select(F.col("source").alias("site_id"), F.concat(F.lit("https://www."), "source", F.lit(".test/"), where, d.cast("string")).alias("page_url"), "text")
+
+
+@query(f"WITH {_OBSERVED_SQL} SELECT site_id, page_url, email, 'text' AS source FROM o")
+def email_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1, F3-F6 over texts, with page addresses made from ids."""
+    return emails.observe_text(_texts(spark, sf_dir))
+
+
+_LOW_SQL = " OR ".join(f"contains(regexp_replace(split_part(email, '@', 1), '[^a-z0-9]', '', 'g'), '{w}')" for w in emails.LOW_VALUE_PARTS)
+
+
+@query(f"""WITH {_OBSERVED_SQL},
+b AS (SELECT site_id, email, page_url, CASE regexp_extract(page_url, '^https://[^/]*/([a-z]*)', 1) WHEN 'contact' THEN 6 WHEN 'about' THEN 4 WHEN 'blog' THEN -3 WHEN 'privacy' THEN -6 ELSE 0 END AS bonus FROM o),
+g AS (SELECT site_id, email, max(bonus) AS bonus, count(DISTINCT page_url) AS n FROM b GROUP BY site_id, email),
+s AS (SELECT *, split_part(email, '@', 2) AS dom, regexp_replace(split_part(email, '@', 1), '[^a-z0-9]', '', 'g') AS part, count(*) OVER (PARTITION BY site_id) AS addresses FROM g),
+t AS (SELECT *, CASE WHEN contains(part, 'thand') OR contains(part, 'handt') THEN 30 WHEN contains(part, 'th') AND contains(part, 'and') THEN 25 WHEN contains(part, 'th') THEN 15 WHEN contains(part, 'and') THEN 10 ELSE 0 END AS named,
+  CASE WHEN dom = 'mail1.example.com' OR ends_with(dom, '.mail1.example.com') OR ends_with('mail1.example.com', '.' || dom) THEN 20 WHEN dom IN ({_LISTED(emails.FREE_DOMAINS)}) THEN 10 ELSE -12 END AS branded FROM s),
+r AS (SELECT *, 27 + bonus + named + branded + least(10, (n - 1) * 4) + CASE WHEN split_part(email, '@', 1) IN ({_LISTED(emails.ROLE_PARTS)}) THEN 6 ELSE 0 END - CASE WHEN {_LOW_SQL} THEN 35 ELSE 0 END + CASE WHEN addresses = 1 THEN 5 ELSE 0 END AS raw FROM t),
+q AS (SELECT *, CAST(greatest(0, least(90, CASE WHEN named >= 15 AND branded >= 15 THEN greatest(raw, 90) ELSE raw END)) AS INTEGER) AS score FROM r)
+SELECT site_id, email, score, CAST(row_number() OVER (PARTITION BY site_id ORDER BY score DESC, email) AS INTEGER) AS rank FROM q""")
+def email_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F7-F12, every source as a site of one invented person."""
+    rows = _texts(spark, sf_dir)
+    sites = rows.select("site_id").distinct().select("site_id", F.lit("https://www.mail1.example.com/").alias("website_url"), F.lit("Th").alias("first_name"), F.lit("And").alias("last_name"))
+    return emails.score(emails.observe_text(rows), sites).select("site_id", "email", "score", "rank")
+
+
+_AMOUNT_SQL = "\\$\\s?[0-9,]+(?:\\s*(?:-|–|to)\\s*\\$?\\s?[0-9,]+)?"
+_PHONE_SQL = "(?:\\+1\\s*)?\\(?[0-9]{3}\\)?[-.\\s][0-9]{3}[-.\\s][0-9]{4}"
+
+
+@query(f"""SELECT doc_id, nullif(regexp_replace(regexp_extract(text, '{_AMOUNT_SQL}', 0), '\\s+', '', 'g'), '') AS fee_clean, nullif(regexp_extract(text, '{_PHONE_SQL}', 0), '') AS phone,
+  CASE WHEN contains(lower(text), 'waitlist') OR contains(lower(text), 'wait list') THEN 'waitlist' ELSE 'accepting_new_clients' END AS availability_status, 'self_pay' AS payment_category FROM documents""")
+def phone_money_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E9, E13, E14, E16 over texts."""
+    t = F.col("text")
+    return table(spark, sf_dir, "documents").select("doc_id", text.first_money(t).alias("fee_clean"), text.first_phone(t).alias("phone"), text.availability(t).alias("availability_status"), text.payment_category(F.lit(False), t).alias("payment_category"))
+
+
+_PHRASES = ("the", "And", "que", "und", "de la")
+
+
+@query(f"""WITH p(i, phrase) AS (SELECT * FROM {values(list(enumerate(_PHRASES)))} AS t(i, phrase)),
+s AS (SELECT doc_id, i, phrase, ((length(lower(text)) - length(replace(lower(text), lower(phrase), ''))) // length(phrase)) * 5 + CASE WHEN i = 2 THEN 20 WHEN i = 0 THEN 19 ELSE 0 END AS score,
+  (length(lower(text)) - length(replace(lower(text), lower(phrase), ''))) // length(phrase) AS n FROM documents, p),
+a AS (SELECT doc_id, phrase, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, i) AS r FROM s), b AS (SELECT doc_id, phrase, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, i) AS r FROM s)
+SELECT a.doc_id, a.phrase AS best, b1.phrase AS first, b2.phrase AS second FROM a JOIN b b1 ON a.doc_id = b1.doc_id AND b1.r = 1 JOIN b b2 ON a.doc_id = b2.doc_id AND b2.r = 2 WHERE a.r = 1""")
+def phrase_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E11, E12 over texts and a list of phrases."""
+    items, top = F.array(*(F.lit(p) for p in _PHRASES)), F.array(F.lit("que"), F.lit("the"))
+    ranked = text.rank_focus(items, F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.best_specialty(items, top, F.col("text"), F.lit("")).alias("best"), ranked["first"].alias("first"), ranked["second"].alias("second"))
+
+
+@query("""WITH f AS (SELECT user_id, event_type, min(event_id) AS first_id FROM events GROUP BY user_id, event_type) SELECT user_id, string_agg(event_type, ' | ' ORDER BY first_id) AS kinds FROM f GROUP BY user_id""")
+def unique_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's kinds of events, in order of first occurrence."""
+    firsts = table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.min("event_id").alias("at"))
+    in_order = F.transform(F.sort_array(F.collect_list(F.struct("at", "event_type"))), lambda x: x["event_type"])
+    return firsts.groupBy("user_id").agg(in_order.alias("a")).select("user_id", text.joined(F.col("a")).alias("kinds"))
+
+
+@query("""SELECT o_orderkey, o_custkey, o_orderpriority FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderdate >= TIMESTAMP '1995-01-01' ORDER BY o_orderkey""")
+def lead_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1-B7 over orders."""
+    filters = {"o_orderstatus": "F", "o_orderpriority": ["1-URGENT", "2-HIGH"], "o_custkey": None}
+    return export.select_leads(table(spark, sf_dir, "orders"), ["o_orderkey", "o_custkey", "o_orderpriority"], filters, created_since=datetime(1995, 1, 1), order_by="o_orderkey", created_at="o_orderdate")
+
+
+@query("""WITH i AS (SELECT user_id, event_type, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM events WHERE event_type <> ''), l AS (SELECT * FROM i WHERE r = 1)
+SELECT coalesce('PT:' || CAST(c_custkey AS VARCHAR), 'PT:' || CAST(user_id AS VARCHAR)) AS source_profile_id, CASE WHEN user_id IS NULL THEN c_mktsegment ELSE event_type END AS source_city,
+  CASE WHEN user_id IS NULL THEN 'completed' ELSE 'pending' END AS profile_scrape_status, CASE WHEN c_custkey IS NOT NULL THEN c_name END AS first_name
+FROM customer FULL JOIN l ON c_custkey = user_id""")
+def profile_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as profiles, events as what discovery found; the last event of a user wins."""
+    base = table(spark, sf_dir, "customer").select(F.concat(F.lit("PT:"), F.col("c_custkey").cast("string")).alias("source_profile_id"), F.col("c_mktsegment").alias("source_city"), F.lit("completed").alias("profile_scrape_status"), F.col("c_name").alias("first_name"))
+    found = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("profile_id"), F.lit(None).cast("string").alias("profile_url"), F.col("event_type").alias("source_city"), F.lit("").alias("source_state"), F.col("event_id").alias("seq"))
+    return state.save_profiles(fit(base, PROFILES), found).select("source_profile_id", "source_city", "profile_scrape_status", "first_name")
+
+
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as profile records."""
+    k = F.col("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select(
+        k.cast("int").alias("id"), F.concat(F.lit("PT:"), k.cast("string")).alias("source_profile_id"), F.col("o_orderdate").alias("created_at"), F.col("o_orderpriority").alias("source_city"),
+        F.when(F.col("o_orderstatus") == "O", "pending").when(F.col("o_orderstatus") == "F", "failed").otherwise("completed").alias("profile_scrape_status"),
+        (k % 11 == 0).alias("profile_is_processing"), (k % 4).cast("int").alias("profile_scrape_attempts"), F.lit("old").alias("profile_scrape_last_error"),
+        F.when(k % 3 == 0, urls.UNAVAILABLE).when(k % 3 == 1, "https://www.psychologytoday.com/us/profile/1/website").alias("pt_website_redirect"),
+        F.when(k % 5 == 0, "owned_website").otherwise("directory").alias("destination_type"), F.lit("https://a.test").alias("website_url"),
+    )
+    return fit(rows, PROFILES)
+
+
+_RECORDS_SQL = """rec AS (SELECT CAST(o_orderkey AS INTEGER) AS id, 'PT:' || CAST(o_orderkey AS VARCHAR) AS source_profile_id, o_orderdate AS created_at, o_orderpriority AS source_city,
+  CASE o_orderstatus WHEN 'O' THEN 'pending' WHEN 'F' THEN 'failed' ELSE 'completed' END AS st, o_orderkey % 11 = 0 AS busy, CAST(o_orderkey % 4 AS INTEGER) AS attempts, o_orderkey AS k FROM orders)"""
+
+
+@query(f"""WITH {_RECORDS_SQL}, c AS (SELECT id FROM rec WHERE st = 'pending' AND NOT busy AND created_at >= TIMESTAMP '1996-01-01' AND source_city = '1-URGENT' ORDER BY id LIMIT 25)
+SELECT id, busy OR id IN (SELECT id FROM c) AS profile_is_processing, CAST(attempts + CASE WHEN id IN (SELECT id FROM c) THEN 1 ELSE 0 END AS INTEGER) AS profile_scrape_attempts,
+  CASE WHEN id IN (SELECT id FROM c) THEN NULL ELSE 'old' END AS profile_scrape_last_error FROM rec""")
+def claim_next_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G11, G17."""
+    rows = state.claim(_records(spark, sf_dir), state.PROFILE, 25, since=datetime(1996, 1, 1), source_city="1-URGENT")
+    return rows.select("id", "profile_is_processing", "profile_scrape_attempts", "profile_scrape_last_error")
+
+
+@query(f"""WITH {_RECORDS_SQL} SELECT id, CASE WHEN id % 2 = 0 THEN CASE WHEN attempts >= 3 THEN 'failed' ELSE 'pending' END ELSE st END AS profile_scrape_status,
+  busy AND id % 2 <> 0 AS profile_is_processing, CASE WHEN id % 2 = 0 THEN 'timeout' ELSE 'old' END AS profile_scrape_last_error FROM rec""")
+def retry_transition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every even record fails once more."""
+    rows = _records(spark, sf_dir)
+    failures = rows.filter("id % 2 = 0").select("source_profile_id", F.lit("timeout").alias("error"))
+    return state.fail(rows, failures, state.PROFILE).select("id", "profile_scrape_status", "profile_is_processing", "profile_scrape_last_error")
+
+
+@query(f"""WITH {_RECORDS_SQL} SELECT id, CASE WHEN id % 2 = 1 THEN 'completed' ELSE st END AS profile_scrape_status, CASE WHEN id % 2 = 1 AND k % 3 = 1 THEN 'pending' END AS website_resolution_status,
+  CASE WHEN id % 2 = 1 AND id % 4 = 1 THEN 'Jo' END AS first_name FROM rec""")
+def complete_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every odd record completes; nulls overwrite nothing, links queue."""
+    rows = _records(spark, sf_dir)
+    done = rows.filter("id % 2 = 1").select("source_profile_id", F.when(F.col("id") % 4 == 1, "Jo").alias("first_name"))
+    return state.complete_profiles(rows, done, AS_OF).select("id", "profile_scrape_status", "website_resolution_status", "first_name")
+
+
+@query(f"""WITH {_RECORDS_SQL} SELECT id, CASE WHEN id % 2 = 1 THEN k % 5 = 0 END AS website_scrape_eligible, CASE WHEN id % 2 = 1 THEN 'completed' END AS website_resolution_status,
+  CASE WHEN id % 2 = 1 AND k % 5 = 0 THEN 'pending' END AS website_scrape_status FROM rec""")
+def complete_resolutions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every odd record is resolved, every fifth to a website of its own."""
+    rows = _records(spark, sf_dir)
+    done = rows.filter("id % 2 = 1").select("source_profile_id", "website_url", "destination_type")
+    return state.complete_resolutions(rows, done, AS_OF).select("id", "website_scrape_eligible", "website_resolution_status", "website_scrape_status")
+
+
+@query(f"""WITH {_RECORDS_SQL} SELECT id, CASE WHEN id % 2 = 0 THEN FALSE END AS website_scrape_eligible, CASE WHEN id % 2 = 0 THEN 'completed' END AS website_scrape_status,
+  CASE WHEN id % 2 = 0 THEN 'private_practice' END AS category FROM rec""")
+def complete_websites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every even record's website is scraped."""
+    rows = _records(spark, sf_dir)
+    done = rows.filter("id % 2 = 0").select("source_profile_id", F.lit("private_practice").alias("category"))
+    return state.complete_websites(rows, done, AS_OF).select("id", "website_scrape_eligible", "website_scrape_status", "category")
+
+
+@query("""SELECT CAST(count(*) AS BIGINT) AS claimed, CAST(count(*) FILTER (WHERE o_orderstatus = 'O') AS BIGINT) AS completed, CAST(count(*) FILTER (WHERE o_orderstatus = 'F') AS BIGINT) AS requeued,
+  CAST(count(*) FILTER (WHERE o_orderstatus = 'P') AS BIGINT) AS failed FROM orders""")
+def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counters of a run."""
+    s = F.col("o_orderstatus")
+    return state.summary(table(spark, sf_dir, "orders").select(F.when(s == "O", "completed").when(s == "F", "requeued").otherwise("failed").alias("status")))
+
+
+@query("""WITH p AS (SELECT s_name, s_suppkey % 3 <> 0 AS is_active FROM supplier WHERE s_suppkey % 5 <> 0), l AS (SELECT s_name, s_suppkey % 2 = 0 AS is_active FROM supplier WHERE s_suppkey % 7 <> 0)
+SELECT coalesce(p.s_name, l.s_name) AS proxy_url, coalesce(l.is_active, FALSE) AS is_active,
+  CASE WHEN p.s_name IS NULL THEN 'added' WHEN p.is_active AND (l.s_name IS NULL OR NOT l.is_active) THEN 'deactivated' WHEN l.s_name IS NOT NULL AND NOT p.is_active AND l.is_active THEN 'reactivated' ELSE 'same' END AS change
+FROM p FULL JOIN l ON p.s_name = l.s_name""")
+def pool_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as a pool and as the list it is reconciled with."""
+    s, k = table(spark, sf_dir, "supplier"), F.col("s_suppkey")
+    pool = s.filter(k % 5 != 0).select(F.col("s_name").alias("proxy_url"), (k % 3 != 0).alias("is_active"))
+    listed = s.filter(k % 7 != 0).select(F.col("s_name").alias("proxy_url"), parse_bool(F.when(k % 2 == 0, " Yes ").otherwise("off")).alias("is_active"))
+    return leases.reconcile(pool, listed)
+
+
+_POOL_SQL = "pool AS (SELECT CAST(s_suppkey AS INTEGER) AS id, s_suppkey % 9 <> 0 AS is_active, s_suppkey % 4 = 0 AS is_in_use, CAST(s_suppkey % 3 AS INTEGER) AS times_used, s_suppkey % 8 = 0 AS out FROM supplier)"
+
+
+def _pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("s_suppkey")
+    until = F.when(k % 8 == 0, F.lit(datetime(2023, 12, 31))).when(k % 4 == 0, F.lit(datetime(2024, 1, 2)))
+    return table(spark, sf_dir, "supplier").select(
+        k.cast("int").alias("id"), F.col("s_name").alias("proxy_url"), (k % 9 != 0).alias("is_active"), (k % 4 == 0).alias("is_in_use"), (k % 3).cast("int").alias("times_used"),
+        F.lit(None).cast("timestamp").alias("last_used_at"), F.when(k % 4 == 0, F.concat(F.lit("t"), k.cast("string"))).alias("lease_token"), until.alias("lease_until"),
+    )
+
+
+@query(f"""WITH {_POOL_SQL}, a AS (SELECT id, row_number() OVER (ORDER BY times_used, id) AS n FROM pool WHERE is_active AND (NOT is_in_use OR out))
+SELECT pool.id, is_in_use OR n <= 3 AS is_in_use, CAST(times_used + CASE WHEN n <= 3 THEN 1 ELSE 0 END AS INTEGER) AS times_used, CASE WHEN n <= 3 THEN 'new' || CAST(n AS VARCHAR) WHEN is_in_use THEN 't' || CAST(pool.id AS VARCHAR) END AS lease_token
+FROM pool LEFT JOIN a ON pool.id = a.id AND n <= 3""".replace("is_in_use OR n <= 3 AS", "is_in_use OR a.id IS NOT NULL AS"))
+def lease_acquire(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G18."""
+    return leases.acquire(_pool(spark, sf_dir), ["new1", "new2", "new3"], AS_OF).select("id", "is_in_use", "times_used", "lease_token")
+
+
+@query(f"""WITH {_POOL_SQL} SELECT id, is_in_use AND id <> 4 AS is_in_use, CASE WHEN id = 4 THEN NULL WHEN id = 8 THEN TIMESTAMP '2024-01-01 00:05:00' WHEN id = 12 THEN TIMESTAMP '2024-01-02 00:05:00'
+  WHEN out THEN TIMESTAMP '2023-12-31' WHEN is_in_use THEN TIMESTAMP '2024-01-02' END AS lease_until FROM pool""")
+def lease_renew_release(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Renewals of a run-out and of a running lease, a release, and a token that nobody holds."""
+    pool = _pool(spark, sf_dir)
+    for token in ("t8", "t12"):
+        pool = leases.renew(pool, token, AS_OF)
+    for token in ("t4", "stale"):
+        pool = leases.release(pool, token, AS_OF)
+    return pool.select("id", "is_in_use", "lease_until")
+
+
+@query(f"WITH {_POOL_SQL} SELECT pool.id, s_name AS proxy_url FROM pool JOIN supplier ON s_suppkey = pool.id WHERE is_active AND NOT is_in_use ORDER BY pool.id")
+def lease_available(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G21."""
+    return leases.available(_pool(spark, sf_dir))
+
+
+@query("""SELECT CAST(o_orderkey AS INTEGER) AS id, CASE o_orderstatus WHEN 'O' THEN 'pending' WHEN 'F' THEN 'completed' ELSE 'failed' END AS status FROM orders
+WHERE o_orderkey % 4 <> 0 AND o_orderstatus IN ('O', 'P') ORDER BY o_orderdate, o_orderkey LIMIT 1""")
+def resumable_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as runs."""
+    s, k = F.col("o_orderstatus"), F.col("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select(
+        k.cast("int").alias("id"), F.when(s == "O", "pending").when(s == "F", "completed").otherwise("failed").alias("status"), F.col("o_orderdate").alias("created_at"),
+        F.lit(None).cast("timestamp").alias("completed_at"), F.when(k % 4 != 0, "next").alias("next_page_url"),
+    )
+    return runs.resumable(rows).select("id", "status")
+
+
+@query()
+def discovery_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1, D2, D6 over invented listings."""
+    return links.discovery(samples.listings(spark), max_profiles=5, max_pages=4)
+
+
+@query()
+def profile_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1-E17 over invented profiles."""
+    return profile.extract(samples.profiles(spark))
+
+
+@query()
+def crawl_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D4 over invented captures."""
+    return crawl.crawl(samples.captured(spark), max_pages=5).drop("html")
+
+
+@query()
+def website_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crawl, mail and class of invented sites."""
+    pages = crawl.crawl(samples.captured(spark)).filter("error is null").drop("error")
+    sites = samples.sites(spark)
+    mail = emails.enrich(pages, sites)
+    kind = practice.classify(pages, sites).withColumn("category_evidence", F.to_json("category_evidence"))
+    return kind.join(mail, "site_id", "left")
