@@ -19,7 +19,7 @@ least id ignores null ids.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +70,22 @@ def linked(first: list[bytes], second: list[bytes], least: float = LEAST_COSINE)
     return out
 
 
+def among(rows: list[bytes], least: float = LEAST_COSINE) -> Callable[[int], np.ndarray]:
+    """For a block of payloads: which of them each is linked with."""
+    sizes = np.array([len(r) for r in rows])
+    at = {int(s): np.flatnonzero(sizes == s) for s in np.unique(sizes)}
+    units = {s: unit([rows[i] for i in own]) for s, own in at.items()}
+    place = {int(i): (s, k) for s, own in at.items() for k, i in enumerate(own)}
+
+    def row(i: int) -> np.ndarray:
+        size, k = place[i]
+        out = np.zeros(len(rows), bool)
+        out[at[size]] = units[size] @ units[size][k] >= least
+        return out
+
+    return row
+
+
 def payloads(vectors: DataFrame, id_col: str, column: str) -> DataFrame:
     """id, digest and payload (doubles) of each vector; both null if it can't be linked."""
     picked = vectors.select(F.col(id_col).alias("id"), F.col(column).cast("array<double>").alias("v"))
@@ -167,7 +183,8 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", column: str = "embe
     )
     k, tables = shape(classes.count())
     keys = materialise(keys_of(classes, k, tables))
-    found = link(keys, lambda nodes: classes.join(nodes, "node").select("node", "payload"), linked)
+    own = classes.select("node", "payload")  # short enough to be its own sketch
+    found = link(keys, own, lambda nodes: own.join(nodes, "node"), (linked, among), (linked, among))
     release(keys)
     named = classes.select("node", "digest", "least", "copies", "payload").join(found, "node", "left")
     members = materialise(named.filter("component is not null").select("component", "node", "copies", "payload"))

@@ -1,11 +1,14 @@
 """From shared hash keys to verified links and connected components, without all pairs.
 
-Nodes that share a key are candidates. Keys with the same nodes are one bucket. Every
-bucket's nodes are compared with its least node first; links found there join
-components. Only buckets that still hold several components go on, and there nodes of
-different components are compared in blocks of bounded size, in tasks that keep one link for each union and no pair that failed. So a large group
-of near copies costs one comparison a node, and still no link between components of
-a bucket is lost.
+Nodes that share a key are candidates. In every bucket the nodes are paired with its
+least node, so a bucket of n gives n - 1 pairs, and pairs that several buckets give are
+one. Short sketches drop pairs that cannot be links; the rest is verified in full, and
+links join components. A link that misses the least nodes of its buckets is found after
+that: the nodes that met one least node are a group, and in groups that still hold
+several components, nodes of different components are compared block by block, first by
+sketch, then, where any are alike, in full. Tasks hold two blocks of bounded size, and
+give flags or one link for each union, never all pairs. So a large group of near copies
+costs one comparison a node, and still no link within a bucket is lost.
 """
 
 from __future__ import annotations
@@ -19,14 +22,16 @@ from pyspark.sql import functions as F
 
 from plinth.llm.store import BROADCAST_ROWS, materialise, release
 
-#: Nodes of a block; a task compares two blocks.
-BLOCK_NODES = 256
+#: Nodes of a block when sketches are compared, and when payloads are; a task compares two blocks.
+SKETCH_BLOCK, BLOCK_NODES = 2048, 512
 
 #: Nodes whose sets a worker holds at once while it reduces links.
 FOREST_NODES = 1_000_000
 
 #: Tells for payloads a[i] and b[i] whether the two are linked.
 Verify = Callable[[list[bytes], list[bytes]], np.ndarray]
+#: Takes a block's payloads; the function that it gives tells for one of them which of all it is linked with.
+Prepare = Callable[[list[bytes]], Callable[[int], np.ndarray]]
 
 
 class Union:
@@ -52,24 +57,10 @@ class Union:
         return True
 
 
-def buckets(keys: DataFrame) -> DataFrame:
-    """key, node, least, n of the nodes that share a key, each set of nodes once.
-
-    keys: (key, node), distinct, materialised. Sets are told apart by count, least node
-    and two sums of hashes, all of which are summed before the shuffle.
-    """
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    live = materialise(keys.join(shared, "key", "left_semi"))
-    sums = live.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("node").alias("least"),
-        F.sum(F.shiftrightunsigned(F.xxhash64("node", F.lit(1)), 16)).alias("a"),
-        F.sum(F.shiftrightunsigned(F.xxhash64("node", F.lit(2)), 16)).alias("b"),
-    )
-    once = sums.groupBy("n", "least", "a", "b").agg(F.min("key").alias("key")).select("key", "n", "least")
-    out = materialise(live.join(once, "key").select("key", "node", "least", "n"))
-    release(live)
-    return out
+def star_pairs(keys: DataFrame) -> DataFrame:
+    """(a, b), distinct: every node b that shares a key with others, and the least node a of that key. keys: (key, node)."""
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("a")).filter("n > 1").select("key", "a")
+    return keys.join(shared, "key").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
 
 
 def verified(pairs: DataFrame, payloads: DataFrame, verify: Verify) -> DataFrame:
@@ -132,15 +123,17 @@ def components(links: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 
 
-def _blocks(left_over: DataFrame, payloads: DataFrame, verify: Verify) -> DataFrame:
-    """Links (a, b) between components of a bucket. left_over: key, node, component, main.
+def _blocks(left_over: DataFrame, payloads: DataFrame, prepare: Prepare, block: int, flag: bool) -> DataFrame:
+    """Links (a, b) between components of a group, or with flag (key, node) of nodes that have any.
 
-    Nodes of the bucket's main component, that of its least node, are compared with
+    left_over: key, node, component, main.
+
+    Nodes of the group's main component, that of its least node, are compared with
     the others only, and the others with each other, block by block.
     """
     sizes = left_over.groupBy("key").agg(F.count_if("main").alias("n_main"), F.count_if(~F.col("main")).alias("n_other"))
     counted = left_over.join(sizes, "key")
-    many = lambda n: F.greatest(F.ceil(F.col(n) / BLOCK_NODES), F.lit(1)).cast("int")
+    many = lambda n: F.greatest(F.ceil(F.col(n) / block), F.lit(1)).cast("int")
     of_main, of_other = many("n_main"), many("n_other")
     own = F.pmod(F.xxhash64("node"), F.when(F.col("main"), of_main).otherwise(of_other)).cast("int")
     upto = lambda n: F.sequence(F.lit(0), n - 1)
@@ -158,18 +151,22 @@ def _blocks(left_over: DataFrame, payloads: DataFrame, verify: Verify) -> DataFr
     def compare(group: list[tuple]) -> Iterator[tuple[int, int]]:
         """Rows: key, kind, i, j, main, own, node, component, payload."""
         found = Union()
-        _, kind, i, j = group[0][:4]
-        if kind:
-            left, right = [r for r in group if not r[4]], [r for r in group if r[4]]
-        else:
-            left, right = [r for r in group if r[5] == i], [r for r in group if r[5] == j]
-        for at, r in enumerate(left):
-            others = [x for x in (right[at + 1 :] if not kind and i == j else right) if found.find(x[7]) != found.find(r[7])]
-            if not others:
+        key, kind, i, j = group[0][:4]
+        linked_with = prepare([r[8] for r in group])
+        right = np.array([r[4] if kind else r[5] == j for r in group])
+        component = np.array([r[7] for r in group])
+        flagged: set[int] = set()
+        for at, r in enumerate(group):
+            if r[4] if kind else r[5] != i:
+                continue
+            hits = np.flatnonzero(linked_with(at) & right & (component != component[at]))
+            if flag:
+                flagged.update(hits.tolist(), [at] if len(hits) else [])
                 continue
-            for x in np.flatnonzero(verify([r[8]] * len(others), [x[8] for x in others])):
-                if found.join(r[7], others[x][7]):
-                    yield r[6], others[x][6]
+            for x in hits:
+                if found.join(r[7], group[x][7]):
+                    yield r[6], group[x][6]
+        yield from ((key, group[x][6]) for x in flagged)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: list[tuple] = []
@@ -192,29 +189,43 @@ def _links(links: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def link(keys: DataFrame, payloads: Callable[[DataFrame], DataFrame], verify: Verify) -> DataFrame:
+def link(
+    keys: DataFrame,
+    sketches: DataFrame,
+    payloads: Callable[[DataFrame], DataFrame],
+    alike: tuple[Verify, Prepare],
+    linked: tuple[Verify, Prepare],
+) -> DataFrame:
     """(node, component) of all nodes that a verified link joins with another.
 
-    keys: (key, node), distinct and materialised. payloads gives, for a frame of distinct
-    nodes that have candidates, (node, payload).
+    keys: (key, node), distinct and materialised. sketches: (node, payload) of all nodes,
+    short; payloads gives the same of the nodes of a frame, in full. alike and linked tell
+    for two sketches whether there may be a link, for two payloads whether there is.
     """
-    members = buckets(keys)
-    nodes = materialise(members.select("node").distinct())
-    known = materialise(payloads(nodes))
-    pairs = members.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    first = materialise(verified(pairs, known, verify))
+    pairs = materialise(star_pairs(keys))
+    likely = materialise(verified(pairs, sketches, alike[0]))
+    known = materialise(payloads(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
+    first = materialise(verified(likely, known, linked[0]))
+    release(likely, known)
     joined = materialise(components(first))
+    groups = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("a")
+    members = pairs.select("a", "b").join(groups, "a").select(F.col("a").alias("key"), F.col("b").alias("node")).unionByName(groups.select(F.col("a").alias("key"), F.col("a").alias("node")))
     label = joined.select("node", "component")
-    labelled = members.filter("n > 2").join(label, "node", "left").select("key", "node", "least", F.coalesce("component", "node").alias("component"))
-    mains = label.select(F.col("node").alias("least"), F.col("component").alias("of_least"))
-    labelled = labelled.join(mains, "least", "left").select("key", "node", "component", (F.col("component") == F.coalesce("of_least", "least")).alias("main"))
+    labelled = members.join(label, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    mains = label.select(F.col("node").alias("key"), F.col("component").alias("of_key"))
+    labelled = materialise(labelled.join(mains, "key", "left").select("key", "node", "component", (F.col("component") == F.coalesce("of_key", "key")).alias("main")))
     open_ = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
     left_over = materialise(labelled.join(open_, "key", "left_semi"))
-    more = materialise(_blocks(left_over, known, verify))
-    release(left_over)
-    if not more.limit(1).count():
-        return joined
-    return materialise(components(first.unionByName(more)))
+    flagged = materialise(_blocks(left_over, sketches, alike[1], SKETCH_BLOCK, True).select(F.col("a").alias("key"), F.col("b").alias("node")).distinct())
+    some = flagged.limit(1).count()
+    if some:
+        left_over = materialise(left_over.join(flagged, ["key", "node"], "left_semi"))
+        known = materialise(payloads(flagged.select("node").distinct()))
+        more = materialise(_blocks(left_over, known, linked[1], BLOCK_NODES, False))
+        release(known)
+        joined = materialise(components(first.unionByName(more)))
+    release(pairs, labelled, flagged)
+    return joined
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:

@@ -4,8 +4,9 @@ Two small collections of bands are computed for each set of shingles, TABLES of
 minhashes each. A table's key is a pair of a band of the first and a band of the
 second collection, so 2 * TABLES * WIDTH minhashes serve TABLES ** 2 tables of
 2 * WIDTH minhashes. Sets of similarity s meet in no table with a probability below
-2 * (1 - s ** WIDTH) ** TABLES: 5e-6 at 0.85 and 6e-8 at 0.9. Pairs that meet are verified
-on their full sets.
+2 * (1 - s ** WIDTH) ** TABLES: 3e-5 at 0.85 and 7e-8 at 0.9. A byte of each minhash makes a
+sketch; sets of similarity 0.85 agree in fewer than LEAST_ALIKE of these with a
+probability below 1e-6. Pairs that pass are verified on their full sets.
 
 Texts with equal sets are one node from the start, however many there are. Bands that
 a node shares with no other make no keys, so most documents leave after one shuffle
@@ -21,6 +22,8 @@ Shingles are compared by 64-bit hashes.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -29,65 +32,83 @@ from pyspark.sql import functions as F
 
 from plinth.llm.linking import broadcast_if_small, link
 from plinth.llm.store import materialise, release, same
-from plinth.llm.words import BLOCK, Hashes, arrow_map, mixed, shingle_set, texts_of
+from plinth.llm.words import arrow_map, mixed, shingle_set, texts_of
 
-TABLES, WIDTH, SHINGLE = 10, 2, 5
+TABLES, WIDTH, SHINGLE = 12, 3, 5
+#: Bytes of two sketches, of 2 * TABLES * WIDTH, that agree at least if the sets may be linked.
+LEAST_ALIKE = 44
 #: Least similarity, in percent, of linked sets.
 PERCENT = 85
 
-_hashes = Hashes()
-
 
-def _multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    seeds = np.arange(1, 2 * n + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    out = mixed(seeds)
-    return out[:n] | np.uint64(1), out[n:]
+def _multipliers(n: int) -> np.ndarray:
+    seeds = mixed(np.arange(1, 3 * n + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    return (seeds >> np.uint64(32)).astype(np.uint32).reshape(3, n, 1)
 
 
-_MULTIPLY, _ADD = _multipliers(2 * TABLES * WIDTH)
+_TIMES, _PLUS, _AGAIN = _multipliers(2 * TABLES * WIDTH)
+_TIMES |= np.uint32(1)
+_AGAIN |= np.uint32(1)
+_ONCE = 4096
 
 
 def minhashes(shingles: np.ndarray) -> np.ndarray:
-    """The least hash of the set under each of the 2 * TABLES * WIDTH functions."""
-    out = np.full(len(_MULTIPLY), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(shingles), BLOCK):
-        some = shingles[at : at + BLOCK]
-        for i, (m, a) in enumerate(zip(_MULTIPLY, _ADD)):
-            x = some * m
-            x += a
-            x ^= x >> np.uint64(32)
-            x *= m
-            out[i] = min(out[i], x.min())
+    """The least 32-bit hash of the set under each of the 2 * TABLES * WIDTH functions."""
+    short = (shingles >> np.uint64(32)).astype(np.uint32)
+    out = np.full(len(_TIMES), np.iinfo(np.uint32).max, np.uint32)
+    for at in range(0, len(short), _ONCE):
+        x = short[at : at + _ONCE] * _TIMES
+        x += _PLUS
+        x ^= x >> np.uint32(15)
+        x *= _AGAIN
+        np.minimum(out, x.min(axis=1), out=out)
     return out
 
 
-def bands(shingles: np.ndarray) -> bytes:
+def bands(mins: np.ndarray) -> np.ndarray:
     """A hash for each band of both collections, 2 * TABLES of them, as signed 64-bit."""
-    mins = minhashes(shingles).reshape(2 * TABLES, WIDTH)
+    of_band = mins.astype(np.uint64).reshape(2 * TABLES, WIDTH)
     out = np.arange(1, 2 * TABLES + 1, dtype=np.uint64)
     for i in range(WIDTH):
-        out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + mins[:, i])
-    return out.tobytes()
+        out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + of_band[:, i])
+    return out.view(np.int64)
+
+
+def sketch(mins: np.ndarray) -> bytes:
+    return (mins >> np.uint32(24)).astype(np.uint8).tobytes()
+
+
+def alike(first: list[bytes], second: list[bytes]) -> np.ndarray:
+    """Which pairs of sketches may belong to linked sets."""
+    a, b = (np.frombuffer(b"".join(x), np.uint8).reshape(len(x), -1) for x in (first, second))
+    return (a == b).sum(axis=1) >= LEAST_ALIKE
+
+
+def alike_among(sketches: list[bytes]) -> Callable[[int], np.ndarray]:
+    x = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), -1)
+    return lambda i: (x == x[i]).sum(axis=1) >= LEAST_ALIKE
 
 
 def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, text_hash, n_shingles, digest (of the set; null if it is empty), bands."""
+    """id, text_hash, n_shingles, digest (of the set), bands and sketch, all three null if it is empty."""
     picked = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        counts, digests, signs = [], [], []
+        counts, digests, signs, shorts = [], [], [], []
         for raw in texts_of(batch.column(2)):
-            shingles = shingle_set(raw, _hashes, SHINGLE)
+            shingles = shingle_set(raw, SHINGLE)
             counts.append(len(shingles))
-            digests.append(xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None)
-            signs.append(np.frombuffer(bands(shingles), np.int64) if len(shingles) else None)
+            mins = minhashes(shingles) if len(shingles) else None
+            digests.append(None if mins is None else xxhash.xxh3_128_digest(shingles.tobytes()))
+            signs.append(None if mins is None else bands(mins))
+            shorts.append(None if mins is None else sketch(mins))
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.array(signs, pa.list_(pa.int64()))],
-            names=["id", "text_hash", "n_shingles", "digest", "bands"],
+            [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.array(signs, pa.list_(pa.int64())), pa.array(shorts, pa.binary())],
+            names=["id", "text_hash", "n_shingles", "digest", "bands", "sketch"],
         )
 
-    return arrow_map(picked, each, f"id {kind}, text_hash long, n_shingles long, digest binary, bands array<long>")
+    return arrow_map(picked, each, f"id {kind}, text_hash long, n_shingles long, digest binary, bands array<long>, sketch binary")
 
 
 def keys_of(classes: DataFrame) -> DataFrame:
@@ -119,13 +140,31 @@ def linked(first: list[bytes], second: list[bytes], percent: int = PERCENT) -> n
     return out
 
 
+def among(sets: list[bytes], percent: int = PERCENT) -> Callable[[int], np.ndarray]:
+    """For a block of sets: which of them each is linked with, by one lookup of all that hold its shingles."""
+    sizes = np.array([len(s) // 8 for s in sets])
+    ends = np.cumsum(sizes)
+    _, shingle, holders = np.unique(np.frombuffer(b"".join(sets), np.uint64), return_inverse=True, return_counts=True)
+    by_shingle = np.repeat(np.arange(len(sets)), sizes)[np.argsort(shingle, kind="stable")]
+    begins = np.cumsum(holders) - holders
+
+    def row(i: int) -> np.ndarray:
+        own = shingle[ends[i] - sizes[i] : ends[i]]
+        n = holders[own]
+        places = np.arange(n.sum()) + np.repeat(begins[own] - (np.cumsum(n) - n), n)
+        common = np.bincount(by_shingle[places], minlength=len(sets))
+        return 100 * common >= percent * (sizes[i] + sizes - common)
+
+    return row
+
+
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each document: id, text_hash, n_shingles, component_id (least id reachable), kept."""
     rows = materialise(signed(docs, id_col, text_col))
     classes = materialise(
         rows.filter("n_shingles > 0")
         .groupBy("digest")
-        .agg(F.min("id").alias("least"), F.min_by(F.struct("id", "text_hash"), F.struct("id", "text_hash")).alias("of"), F.min("bands").alias("bands"))
+        .agg(F.min("id").alias("least"), F.min_by(F.struct("id", "text_hash"), F.struct("id", "text_hash")).alias("of"), F.min("bands").alias("bands"), F.min("sketch").alias("sketch"))
         .withColumn("node", F.monotonically_increasing_id())
     )
     keys = materialise(keys_of(classes))
@@ -136,13 +175,13 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         found = texts.alias("t").join(broadcast_if_small(wanted).alias("w"), same("t", "w", ["id", "text_hash"])).select("w.node", "t.text", "w.digest")
 
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            out = [shingle_set(raw, _hashes, SHINGLE).tobytes() for raw in texts_of(batch.column(1))]
+            out = [shingle_set(raw, SHINGLE).tobytes() for raw in texts_of(batch.column(1))]
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["node", "payload"])
 
         # repeated rows come several times with one and the same text
         return arrow_map(found, each, "node long, payload binary").groupBy("node").agg(F.first("payload").alias("payload"))
 
-    found = link(keys, sets, linked)
+    found = link(keys, classes.select("node", F.col("sketch").alias("payload")), sets, (alike, alike_among), (linked, among))
     release(keys)
     named = classes.select("node", "digest", "least").join(found, "node", "left").select("digest", "least", F.coalesce("component", "node").alias("component"))
     named = materialise(named)

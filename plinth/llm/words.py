@@ -11,8 +11,6 @@ from pyspark.sql import DataFrame
 
 #: Distinct words that a worker remembers at once; beyond that it starts anew.
 REMEMBERED = 400_000
-#: Values that are worked on at once, to bound the memory that a long text takes.
-BLOCK = 1 << 16
 
 
 def texts_of(column: pa.Array) -> list[bytes | None]:
@@ -30,16 +28,6 @@ def split_words(raw: bytes | None) -> list[bytes]:
     return raw.split() if raw else []
 
 
-class Hashes(dict):
-    """64-bit hashes of words, remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = out = xxhash.xxh3_64_intdigest(word)
-        return out
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """A finaliser for 64-bit hashes; x is overwritten."""
     x ^= x >> np.uint64(30)
@@ -53,7 +41,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingle_set(raw: bytes | None, hashes: Hashes, width: int = 5) -> np.ndarray:
+def shingle_set(raw: bytes | None, width: int = 5) -> np.ndarray:
     """The sorted distinct 64-bit hashes of a text's shingles of width lower-cased words.
 
     With fewer words the whole sequence is the one shingle; without words there is none.
@@ -61,15 +49,15 @@ def shingle_set(raw: bytes | None, hashes: Hashes, width: int = 5) -> np.ndarray
     words = split_words(lower_ascii(raw)) if raw else []
     if not words:
         return np.empty(0, np.uint64)
-    ids = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    ids = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     n = min(width, len(words))
-    with np.errstate(over="ignore"):
-        out = np.full(len(words) - n + 1, np.uint64(n))
-        for i in range(n):
-            out *= _STEP
-            out += ids[i : len(words) - n + 1 + i]
-            out = mixed(out)
-    return np.unique(out)
+    out = np.full(len(words) - n + 1, n, np.uint64)
+    for i in range(n):  # a polynomial in the words' hashes
+        out *= _STEP
+        out += ids[i : len(words) - n + 1 + i]
+    out = mixed(out)
+    out.sort()
+    return out[np.append(True, out[1:] != out[:-1])]
 
 
 def arrow_map(df: DataFrame, each: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
