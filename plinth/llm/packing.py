@@ -21,7 +21,6 @@ rows are packed once for each row; an empty table gives no rows.
 from __future__ import annotations
 
 import math
-import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from plinth.llm.store import count_off, materialise, same
+from plinth.llm.store import count_off, materialise
 from plinth.llm.words import REMEMBERED, arrow_map, texts_of
 
 CAPACITY = 2048
@@ -120,31 +119,74 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[list[Rule
     return rules, bins
 
 
-class Pieces(dict):
-    """Token ids of words as little-endian unsigned 32-bit, remembered."""
+class Pieces:
+    """Token ids of words as little-endian unsigned 32-bit, remembered.
+
+    The tokenizer drops white space, at which no token crosses, and takes runs of
+    letters apart from what surrounds them; so a text is its words, and a word is its
+    letters and the marks behind them. What a batch needs and nobody remembers is
+    encoded together, as one text.
+    """
 
     def __init__(self, path: str) -> None:
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        out = np.array(ids, "<u4").tobytes()
-        if len(word) <= 64:
-            self[word] = out
-        return out
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
+        self.words: dict[bytes, bytes] = {}
+        self.cores: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _cut(self, word: bytes) -> tuple[bytes, bytes]:
+        """A word as what is remembered and the marks behind it, which never join with an ASCII letter or digit."""
+        if b"<|" in word:  # may hold a special token, whose case matters
+            return word, b""
+        core = word.lower().rstrip(b".,;:!?")
+        return (core, word[len(core) :]) if core and core[-1:].isalnum() else (word.lower(), b"")
+
+    def _learn_cores(self, cores: set[bytes]) -> None:
+        if len(self.cores) >= REMEMBERED:  # the last generation stays at hand
+            self.older, self.cores = self.cores, {}
+        new = []
+        for core in cores - self.cores.keys():
+            if (known := self.older.get(core)) is not None:
+                self.cores[core] = known
+            else:
+                new.append(core)
+        plain = [c for c in new if c.decode().isalpha()]
+        for at in range(0, len(plain), 1000):
+            some = plain[at : at + 1000]
+            ids = self._ids(" ".join(c.decode() for c in some))
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(some):  # one end a word, so the words can be told apart
+                self.cores.update(zip(some, (x.tobytes() for x in np.split(ids, cuts[:-1]))))
+        for core in new:
+            if core not in self.cores:
+                self.cores[core] = self._ids(core.decode()).tobytes()
+
+    def encode(self, texts: list[bytes | None]) -> list[bytes]:
+        """Each text's ids and then id 0."""
+        split = [t.split() if t else [] for t in texts]
+        needed = set().union(*split)
+        if len(self.words) >= REMEMBERED:
+            self.words = {w: self.words[w] for w in needed & self.words.keys()}
+        cut = {w: self._cut(w) for w in needed - self.words.keys()}
+        self._learn_cores({part for pair in cut.values() for part in pair if part})
+        for word, (core, marks) in cut.items():
+            self.words[word] = self.cores[core] + (self.cores[marks] if marks else b"")
+        return [b"".join(map(self.words.__getitem__, words)) + bytes(4) for words in split]
 
 
 _loaded: dict[str, Pieces] = {}
 
 
-def encode(raw: bytes | None, path: str) -> bytes:
-    """A text's ids and then id 0. The tokenizer drops white space, at which no token crosses, so it takes word by word."""
+def pieces_of(path: str) -> Pieces:
     if (known := _loaded.get(path)) is None:
         known = _loaded[path] = Pieces(path)
-    return b"".join(map(known.__getitem__, raw.split() if raw else ())) + bytes(4)
+    return known
 
 
 def tokenise(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
@@ -153,8 +195,7 @@ def tokenise(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         at, piece, start, tokens = [], [], [], []
-        for i, raw in enumerate(texts_of(batch.column(1))):
-            ids = encode(raw, path)
+        for i, ids in enumerate(pieces_of(path).encode(texts_of(batch.column(1)))):
             for k, s in enumerate(range(0, len(ids), 4 * capacity)):
                 at.append(i)
                 piece.append(k)
@@ -216,11 +257,3 @@ def sequences(packed: DataFrame) -> DataFrame:
     """One row for each sequence: sequence_id, length, tokens in order; a sequence is no longer than the capacity."""
     parts = F.sort_array(F.collect_list(F.struct("offset", "tokens")))
     return packed.groupBy("sequence_id").agg(F.sum("length").alias("length"), parts.alias("parts")).select("sequence_id", "length", F.transform("parts", lambda p: p["tokens"]).alias("tokens"))
-
-
-def checksum(tokens: bytes) -> int:
-    """What the digest column of the registered query holds."""
-    return zlib.crc32(tokens)
-
-
-__all__ = ["CAPACITY", "OpenBins", "Rule", "assign", "checksum", "encode", "pack", "plan", "same", "sequences", "tokenise"]
