@@ -116,5 +116,18 @@ QUERIES = {
     "op10_hash_tree_shards": op10_hash_tree_shards,
 }
 
+
 #: SQL that the queries must agree with, where SQL can say it.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_chat_format": f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT {HOSTILE[0]}, 0, 'user', '{HOSTILE[1]}' UNION ALL SELECT {HOSTILE[0]}, 1, 'assistant', '{HOSTILE[1]}'),
+e AS (SELECT *, length(text) - length(replace(text, chr(92), '')) AS slashes, (length(text) - length(replace(text, '</turn>', ''))) // 7 AS closings,
+  (length(text) - length(replace(text, '<|endoftext|>', ''))) // 13 AS ends, coalesce(list_sum(list_transform(regexp_extract_all(text, '#{{3,}}'), lambda r: length(r) - 2)), 0) AS marks FROM c)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length('### ' || role || ': ') + length(text) + slashes + closings + ends + marks + 8) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id""",
+}

@@ -22,11 +22,11 @@ from plinth.llm.store import keep_names, materialise, release
 SIZES = (3, 4, 5)
 SLOTS = 1 << 15
 MOST_LABELLED = 512
-EPOCHS, RATE, SHRINK = 40, 0.05, 1e-2
+EPOCHS, RATE, SHRINK = 40, 0.03, 1e-2
 #: Square of the constant feature, whose weight is the bias.
 BIAS = 0.1
 #: Log odds above which a URL is blocked; URLs without any known sign lie near 0.
-THRESHOLD = 1.5
+THRESHOLD = 0.75
 
 #: Rules: (verdict, host, path). A rule holds for its host and all subdomains.
 RULES: tuple[tuple[str, str, str], ...] = (
@@ -54,11 +54,11 @@ _PATHS = ("/en/12", "/fr/345/", "/es/77.html", "/de/608")
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """The built-in labelled table: url, blocked (0 or 1). Every name comes under two hosts, which both labels share alike."""
+    """The built-in labelled table: url, blocked (0 or 1). Every name comes under every host, with paths dealt alike."""
     rows = []
     for blocked, names in ((1, _BLOCKED), (0, _ALLOWED)):
         for i, name in enumerate(names):
-            rows += [(f"https://{_HOSTS[j % 4].format(name)}{_PATHS[j // 4 % 4]}", blocked) for j in (i, i + 6)]
+            rows += [(f"https://{host.format(name)}{_PATHS[(i // 2 + j) % len(_PATHS)]}", blocked) for j, host in enumerate(_HOSTS)]
     return spark.createDataFrame(rows, "url string, blocked int")
 
 
