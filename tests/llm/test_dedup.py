@@ -100,6 +100,14 @@ def test_components_of_a_long_chain(spark):
     assert linking.components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_components_of_many_links(spark):
+    n = 120_000  # the sum of so many 48-bit hashes passes 63 bits
+    links = spark.range(n).selectExpr("3 * id + 1 AS a", "3 * id AS b").unionByName(spark.range(n).selectExpr("3 * id + 2 AS a", "3 * id + 1 AS b"))
+    got = linking.components(links)
+    assert got.count() == 3 * n
+    assert got.filter("component <> node - node % 3").count() == 0
+
+
 def test_small_blocks_find_what_large_ones_do(spark, monkeypatch):
     monkeypatch.setattr(linking, "BLOCK_NODES", 3)
     monkeypatch.setattr(linking, "SKETCH_BLOCK", 2)
