@@ -1,12 +1,13 @@
 """MinHash near-dedup with tensored banding.
 
-Two small collections of bands are computed for each set of shingles, TABLES of WIDTH
-minhashes each. A table's key is a pair of a band of the first and a band of the
-second collection, so 2 * TABLES * WIDTH minhashes serve TABLES ** 2 tables of
+Two small collections of bands are computed for each set of shingles, so many tables of
+WIDTH minhashes each. A table's key is a pair of a band of the first and a band of the
+second collection, so 2 * tables * WIDTH minhashes serve tables ** 2 tables of
 2 * WIDTH minhashes. Sets of similarity s meet in no table with a probability below
-2 * (1 - s ** WIDTH) ** TABLES: 3e-5 at 0.85 and 7e-8 at 0.9. A byte of each minhash makes a
-sketch; sets of similarity 0.85 agree in fewer than LEAST_ALIKE of these with a
-probability below 1e-6. Pairs that pass are verified on their full sets.
+2 * (1 - s ** WIDTH) ** tables: 3e-5 at the least similarity that links. For 0.85 these are
+12 tables (7e-8 at 0.9), for 0.80, 16. A byte of each minhash makes a sketch; sets of the
+least similarity agree in fewer of these than SHAPES says with a probability below 1e-6.
+Pairs that pass are verified on their full sets.
 
 Texts with equal sets are one node from the start, however many there are. Bands that
 a node shares with no other make no keys, so most documents leave after one shuffle
@@ -23,6 +24,7 @@ Shingles are compared by 64-bit hashes.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -34,41 +36,42 @@ from plinth.llm.linking import broadcast_if_small, link
 from plinth.llm.store import materialise, release, same
 from plinth.llm.words import arrow_map, mixed, shingle_set, texts_of
 
-TABLES, WIDTH, SHINGLE = 12, 3, 5
-#: Bytes of two sketches, of 2 * TABLES * WIDTH, that agree at least if the sets may be linked.
-LEAST_ALIKE = 44
-#: Least similarity, in percent, of linked sets.
+WIDTH, SHINGLE = 3, 5
+#: Least similarity, in percent, of linked sets, where none is given.
 PERCENT = 85
+#: For each least similarity: tables, and bytes of two sketches, of 2 * tables * WIDTH, that agree at least if the sets may be linked.
+SHAPES = {85: (12, 44), 80: (16, 56)}
+TABLES, LEAST_ALIKE = SHAPES[PERCENT]
 
 
-def _multipliers(n: int) -> np.ndarray:
+@cache
+def _multipliers(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     seeds = mixed(np.arange(1, 3 * n + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    return (seeds >> np.uint64(32)).astype(np.uint32).reshape(3, n, 1)
+    times, plus, again = (seeds >> np.uint64(32)).astype(np.uint32).reshape(3, n, 1)
+    return times | np.uint32(1), plus, again | np.uint32(1)
 
 
-_TIMES, _PLUS, _AGAIN = _multipliers(2 * TABLES * WIDTH)
-_TIMES |= np.uint32(1)
-_AGAIN |= np.uint32(1)
 _ONCE = 4096
 
 
-def minhashes(shingles: np.ndarray) -> np.ndarray:
-    """The least 32-bit hash of the set under each of the 2 * TABLES * WIDTH functions."""
+def minhashes(shingles: np.ndarray, tables: int = TABLES) -> np.ndarray:
+    """The least 32-bit hash of the set under each of the 2 * tables * WIDTH functions."""
+    times, plus, again = _multipliers(2 * tables * WIDTH)
     short = (shingles >> np.uint64(32)).astype(np.uint32)
-    out = np.full(len(_TIMES), np.iinfo(np.uint32).max, np.uint32)
+    out = np.full(len(times), np.iinfo(np.uint32).max, np.uint32)
     for at in range(0, len(short), _ONCE):
-        x = short[at : at + _ONCE] * _TIMES
-        x += _PLUS
+        x = short[at : at + _ONCE] * times
+        x += plus
         x ^= x >> np.uint32(15)
-        x *= _AGAIN
+        x *= again
         np.minimum(out, x.min(axis=1), out=out)
     return out
 
 
 def bands(mins: np.ndarray) -> np.ndarray:
-    """A hash for each band of both collections, 2 * TABLES of them, as signed 64-bit."""
-    of_band = mins.astype(np.uint64).reshape(2 * TABLES, WIDTH)
-    out = np.arange(1, 2 * TABLES + 1, dtype=np.uint64)
+    """A hash for each band of both collections, as signed 64-bit."""
+    of_band = mins.astype(np.uint64).reshape(-1, WIDTH)
+    out = np.arange(1, len(of_band) + 1, dtype=np.uint64)
     for i in range(WIDTH):
         out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + of_band[:, i])
     return out.view(np.int64)
@@ -78,18 +81,18 @@ def sketch(mins: np.ndarray) -> bytes:
     return (mins >> np.uint32(24)).astype(np.uint8).tobytes()
 
 
-def alike(first: list[bytes], second: list[bytes]) -> np.ndarray:
+def alike(first: list[bytes], second: list[bytes], least: int = LEAST_ALIKE) -> np.ndarray:
     """Which pairs of sketches may belong to linked sets."""
     a, b = (np.frombuffer(b"".join(x), np.uint8).reshape(len(x), -1) for x in (first, second))
-    return (a == b).sum(axis=1) >= LEAST_ALIKE
+    return (a == b).sum(axis=1) >= least
 
 
-def alike_among(sketches: list[bytes]) -> Callable[[int], np.ndarray]:
+def alike_among(sketches: list[bytes], least: int = LEAST_ALIKE) -> Callable[[int], np.ndarray]:
     x = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), -1)
-    return lambda i: (x == x[i]).sum(axis=1) >= LEAST_ALIKE
+    return lambda i: (x == x[i]).sum(axis=1) >= least
 
 
-def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def signed(docs: DataFrame, id_col: str, text_col: str, tables: int = TABLES) -> DataFrame:
     """id, text_hash, n_shingles, digest (of the set), bands and sketch, all three null if it is empty."""
     picked = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
@@ -99,7 +102,7 @@ def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for raw in texts_of(batch.column(2)):
             shingles = shingle_set(raw, SHINGLE)
             counts.append(len(shingles))
-            mins = minhashes(shingles) if len(shingles) else None
+            mins = minhashes(shingles, tables) if len(shingles) else None
             digests.append(None if mins is None else xxhash.xxh3_128_digest(shingles.tobytes()))
             signs.append(None if mins is None else bands(mins))
             shorts.append(None if mins is None else sketch(mins))
@@ -111,7 +114,7 @@ def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return arrow_map(picked, each, f"id {kind}, text_hash long, n_shingles long, digest binary, bands array<long>, sketch binary")
 
 
-def keys_of(classes: DataFrame) -> DataFrame:
+def keys_of(classes: DataFrame, tables: int = TABLES) -> DataFrame:
     """(key, node): a key for each pair of a band of the one and one of the other collection.
 
     A node's bands that no other node has are left out before pairing.
@@ -119,9 +122,9 @@ def keys_of(classes: DataFrame) -> DataFrame:
     single = classes.select("node", F.posexplode("bands").alias("slot", "band")).select("node", "slot", F.xxhash64("slot", "band").alias("h"))
     shared = single.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
     live = single.join(shared, "h", "left_semi")
-    of = live.groupBy("node").agg(F.collect_list(F.struct("slot", "h")).alias("all"))  # 2 * TABLES at most
-    first = F.filter("all", lambda x: x["slot"] < TABLES)
-    second = F.filter("all", lambda x: x["slot"] >= TABLES)
+    of = live.groupBy("node").agg(F.collect_list(F.struct("slot", "h")).alias("all"))  # 2 * tables at most
+    first = F.filter("all", lambda x: x["slot"] < tables)
+    second = F.filter("all", lambda x: x["slot"] >= tables)
     pairs = F.flatten(F.transform(first, lambda x: F.transform(second, lambda y: F.xxhash64(x["h"], y["h"]))))
     return of.select(F.explode(pairs).alias("key"), "node")
 
@@ -158,16 +161,19 @@ def among(sets: list[bytes], percent: int = PERCENT) -> Callable[[int], np.ndarr
     return row
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each document: id, text_hash, n_shingles, component_id (least id reachable), kept."""
-    rows = materialise(signed(docs, id_col, text_col))
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """One row for each document: id, text_hash, n_shingles, component_id (least id reachable), kept. percent is one of SHAPES."""
+    if percent not in SHAPES:
+        raise ValueError(f"no tables are set for a least similarity of {percent} percent")
+    tables, least_alike = SHAPES[percent]
+    rows = materialise(signed(docs, id_col, text_col, tables))
     classes = materialise(
         rows.filter("n_shingles > 0")
         .groupBy("digest")
         .agg(F.min("id").alias("least"), F.min_by(F.struct("id", "text_hash"), F.struct("id", "text_hash")).alias("of"), F.min("bands").alias("bands"), F.min("sketch").alias("sketch"))
         .withColumn("node", F.monotonically_increasing_id())
     )
-    keys = materialise(keys_of(classes))
+    keys = materialise(keys_of(classes, tables))
 
     def sets(nodes: DataFrame) -> DataFrame:
         wanted = classes.join(nodes, "node").select("node", "digest", F.col("of.id").alias("id"), F.col("of.text_hash").alias("text_hash"))
@@ -181,7 +187,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         # repeated rows come several times with one and the same text
         return arrow_map(found, each, "node long, payload binary").groupBy("node").agg(F.first("payload").alias("payload"))
 
-    found = link(keys, classes.select("node", F.col("sketch").alias("payload")), sets, (alike, alike_among), (linked, among))
+    short = partial(alike, least=least_alike), partial(alike_among, least=least_alike)
+    full = partial(linked, percent=percent), partial(among, percent=percent)
+    found = link(keys, classes.select("node", F.col("sketch").alias("payload")), sets, short, full)
     release(keys)
     named = classes.select("node", "digest", "least").join(found, "node", "left").select("digest", "least", F.coalesce("component", "node").alias("component"))
     named = materialise(named)
@@ -193,9 +201,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return out.select(F.col("id").alias(id_col), "text_hash", "n_shingles", component.alias("component_id"), kept.alias("kept"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """One document of each group: the one with the least id, once even if its row is repeated."""
-    rows = near_copies(docs, id_col, text_col).filter("kept")
+    rows = near_copies(docs, id_col, text_col, percent).filter("kept")
     kept = materialise(rows.groupBy(F.col(id_col).alias("__p_id"), F.col("text_hash").alias("__p_hash")).agg(F.count(F.lit(1)).alias("__p_rows")))
     own = docs.toDF(*(f"__p_c{i}" for i in range(len(docs.columns))))
     at, text = (f"__p_c{docs.columns.index(c)}" for c in (id_col, text_col))

@@ -44,7 +44,7 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_copies(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_shingles", "component_id", "kept")
+    return minhash.near_copies(table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,6 +69,21 @@ def test_query_on_the_table(spark, sf):
     assert {r["doc_id"]: r["component_id"] for r in got} == want
 
 
+def test_keep_one_at_80(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()
+    rows = [(d["doc_id"], d["text"], "", 0) for d in docs]
+    base = [f"w{k}" for k in range(104)]  # 100 shingles; a word changed inside makes 5 others
+    for changed in ((), (20,), (20, 50), (20, 50, 80)):  # 0.90, 0.82 and 0.74 from the first
+        rows.append((10**6 + len(changed), " ".join(f"x{k}" if k in changed else w for k, w in enumerate(base)), "", 0))
+    _, links = brute.near([x[1] for x in rows], 80)
+    want = set(brute.least_ids([x[0] for x in rows], links))
+    assert len(want) < len(set(brute.least_ids([x[0] for x in rows], brute.near([x[1] for x in rows])[1])))
+    got = [x["doc_id"] for x in minhash.keep_one(spark.createDataFrame(rows, DOCS), percent=80).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    with pytest.raises(ValueError):
+        minhash.keep_one(spark.createDataFrame(rows, DOCS), percent=70)
+
+
 def test_minhashes_estimate_similarity():
     r = np.random.default_rng(1)
     errors = []
