@@ -1,10 +1,13 @@
 """Quality rules by divergence from language references.
 
 A document's histogram of character classes and of common words of its language is
-compared, by Jensen-Shannon distance, with that language's reference, the sum over
-all documents of the language that pass the base rules. Short documents scatter
-widely, so each comparison has a least length below which it says nothing; so it does
-where the language is null, has too few documents to refer to, or no word list.
+compared, by Jensen-Shannon distance, with that language's reference. The reference is
+summed twice: over all documents of the language that pass the base rules, then over
+those of them that are near the first sum, so that junk does not refer to itself. Both
+distances count together, as the squares of their shares of a largest distance: junk
+is off in both, good short documents scatter widely in one at a time. A comparison says
+nothing below a least length, nor where the language is null, has too few documents to
+refer to, or no word list.
 
 Defined results: a null or empty text has no words and fails the base rules; words are
 the runs of other than the six ASCII white-space characters; any row is judged by
@@ -18,15 +21,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plinth.llm.store import join_small, keep_names, materialise
+from plinth.llm.store import join_small, keep_names, materialise, release
 from plinth.llm.words import REMEMBERED, arrow_map, split_words, texts_of
 
 #: Least words, and most percent of words in repeated windows.
 LEAST_WORDS, MOST_REPEATED = 50, 50
 #: Least letters and words for the two comparisons, and least documents of a reference.
-LEAST_CHARS, LEAST_COMMON_WORDS, LEAST_DOCS = 200, 100, 20
-#: Largest distances of a document that is kept.
-MOST_CHARS_APART, MOST_WORDS_APART = 0.30, 0.31
+LEAST_CHARS, LEAST_COMMON_WORDS, LEAST_DOCS = 200, 50, 20
+#: Largest distances of a document that is kept, each where the other is zero.
+MOST_CHARS_APART, MOST_WORDS_APART = 0.30, 0.36
+#: Largest distances from the first sum, either of which keeps a document out of the second, and least words for that.
+FIRST_CHARS_APART, FIRST_WORDS_APART, FIRST_COMMON_WORDS = 0.30, 0.31, 100
 
 SYMBOLS = b"#*$%&|<>"
 #: Character classes: lower case, upper case, digit, white space, stop, other mark, symbol, beyond ASCII.
@@ -162,14 +167,27 @@ def base_failed() -> Column:
     return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
 
 
-def references(measured: DataFrame) -> DataFrame:
-    """One row for each language: __p_lang, docs, and the summed histograms of documents that pass the base rules."""
+def summed(measured: DataFrame) -> DataFrame:
+    """One row for each language of LEAST_DOCS or more: __p_lang, ref_docs, and the summed histograms."""
     add = lambda name, n: F.array(*(F.sum(F.get(name, F.lit(i))) for i in range(n)))
-    good = measured.filter(~base_failed() & F.col("__p_lang").isNotNull())
+    good = measured.filter(F.col("__p_lang").isNotNull())
     out = good.groupBy("__p_lang").agg(F.count(F.lit(1)).alias("ref_docs"), add("__p_chars", CLASSES).alias("ref_chars"), add("__p_bins", WORD_BINS).alias("ref_bins"))
     return out.filter(F.col("ref_docs") >= LEAST_DOCS)
 
 
+def references(measured: DataFrame) -> DataFrame:
+    """The sums over documents that pass the base rules and are near the sum of all that do. measured is read twice.
+
+    A language that keeps fewer than LEAST_DOCS documents near has the first sum.
+    """
+    passed = measured.filter(~base_failed())
+    first = materialise(summed(passed))
+    near = (F.coalesce("chars_apart", F.lit(0.0)) <= FIRST_CHARS_APART) & (F.coalesce("words_apart", F.lit(0.0)) <= FIRST_WORDS_APART)
+    second = summed(compared(passed, first, FIRST_COMMON_WORDS).filter(near).select("__p_lang", "__p_chars", "__p_bins"))
+    refs = [c for c in first.columns if c != "__p_lang"]
+    return first.alias("a").join(second.alias("b"), "__p_lang", "left").select("__p_lang", *(F.coalesce(f"b.{c}", f"a.{c}").alias(c) for c in refs))
+
+
 def distance(a: Column, b: Column) -> Column:
     """Jensen-Shannon distance, base 2, of two histograms; null if one is empty."""
     total = lambda h: F.aggregate(h, F.lit(0.0), lambda s, v: s + v)
@@ -179,17 +197,23 @@ def distance(a: Column, b: Column) -> Column:
     return F.when((na > 0) & (nb > 0), F.sqrt(F.greatest(total(terms), F.lit(0.0))))
 
 
-def judged(measured: DataFrame, refs: DataFrame) -> DataFrame:
-    """measured with chars_apart, words_apart, base_failed and kept; the histograms go."""
+def compared(measured: DataFrame, refs: DataFrame, least_words: int = LEAST_COMMON_WORDS) -> DataFrame:
+    """measured with the columns of refs, chars_apart and words_apart."""
     joined = join_small(measured, refs, ["__p_lang"], F.xxhash64("n_words", "word_chars", "n_repeat_words"), "left")
-    apart = keep_names(
+    return keep_names(
         joined,
         {
             "chars_apart": F.when(F.col("word_chars") >= LEAST_CHARS, distance(F.col("__p_chars"), F.col("ref_chars"))),
-            "words_apart": F.when(F.col("n_words") >= LEAST_COMMON_WORDS, distance(F.col("__p_bins"), F.col("ref_bins"))),
+            "words_apart": F.when(F.col("n_words") >= least_words, distance(F.col("__p_bins"), F.col("ref_bins"))),
         },
     )
-    far = (F.coalesce("chars_apart", F.lit(0.0)) > MOST_CHARS_APART) | (F.coalesce("words_apart", F.lit(0.0)) > MOST_WORDS_APART)
+
+
+def judged(measured: DataFrame, refs: DataFrame) -> DataFrame:
+    """measured with chars_apart, words_apart, base_failed and kept; the histograms go."""
+    apart = compared(measured, refs)
+    share = lambda name, most: F.pow(F.coalesce(name, F.lit(0.0)) / most, F.lit(2.0))
+    far = share("chars_apart", MOST_CHARS_APART) + share("words_apart", MOST_WORDS_APART) > 1
     out = keep_names(apart, {"base_failed": base_failed(), "kept": ~base_failed() & ~far})
     return out.drop("__p_lang", "__p_chars", "__p_bins", "ref_docs", "ref_chars", "ref_bins")
 
@@ -204,5 +228,7 @@ def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     """The documents that are kept, with their own columns only. The texts are read twice, and never shuffled."""
     own = docs.toDF(*(f"__p_c{i}" for i in range(len(docs.columns))))
     text, lang = (f"__p_c{docs.columns.index(c)}" for c in (text_col, lang_col))
-    refs = materialise(references(measure(own, text, lang, [])))
+    measured = materialise(measure(own, text, lang, []))
+    refs = materialise(references(measured))
+    release(measured)
     return judged(measure(own, text, lang), refs).filter("kept").select(*own.columns).toDF(*docs.columns)

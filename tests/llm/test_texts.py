@@ -49,6 +49,28 @@ def test_good_documents_stay_and_junk_goes(spark):
         assert tuple(r[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")) == brute.quality_base(doc["text"])
 
 
+def test_junk_that_passes_the_base_rules_goes(spark):
+    sf = "/root/testdata/sf0.1"
+    scored = queries.op3_quality_rules(spark, sf).filter("not base_failed").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
+    good, bad = (scored.filter(f"quality = {q}").select("n_words", "kept").collect() for q in (1, 0))
+    short = [r for r in bad if r["n_words"] < 100]
+    assert len(bad) > 200 and sum(not r["kept"] for r in bad) >= 0.98 * len(bad)
+    assert len(short) > 20 and sum(not r["kept"] for r in short) >= 0.95 * len(short)
+    assert sum(r["kept"] for r in good) >= 0.999 * len(good)
+
+
+def test_references_leave_junk_out(spark):
+    r = random.Random(3)
+    common = quality.COMMON["en"].split()
+    rows = [(i, " ".join(r.choice(common) if r.random() < 0.5 else f"word{''.join(r.choices('abcdefgh', k=4))}" for _ in range(300)), "en") for i in range(60)]
+    rows += [(100 + i, " ".join(f"#{(i + k) % 97}$ %{k}&" for k in range(60)), "en") for i in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    measured = quality.measure(df, keep=["doc_id"])
+    (ref,) = quality.references(measured).collect()
+    assert ref["ref_docs"] == 60 and ref["ref_chars"][6] == 0
+    assert {r["doc_id"] for r in quality.keep_good(df).collect()} == {r["doc_id"] for r in quality.score(df).filter("kept").collect()} == set(range(60))
+
+
 def test_plan_is_best_fit():
     r = random.Random(7)
     for _ in range(60):
