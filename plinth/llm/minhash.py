@@ -161,8 +161,8 @@ def among(sets: list[bytes], percent: int = PERCENT) -> Callable[[int], np.ndarr
     return row
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """One row for each document: id, text_hash, n_shingles, component_id (least id reachable), kept. percent is one of SHAPES."""
+def compared(docs: DataFrame, id_col: str, text_col: str, percent: int) -> tuple[DataFrame, DataFrame]:
+    """signed() of docs, and (digest, component, component_id) of all sets. percent is one of SHAPES."""
     if percent not in SHAPES:
         raise ValueError(f"no tables are set for a least similarity of {percent} percent")
     tables, least_alike = SHAPES[percent]
@@ -194,17 +194,27 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     named = classes.select("node", "digest", "least").join(found, "node", "left").select("digest", "least", F.coalesce("component", "node").alias("component"))
     named = materialise(named)
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    table = named.join(least, "component").select("digest", "component_id")
-    out = rows.join(table, "digest", "left")
+    return rows, named.join(least, "component").select("digest", "component", "component_id")
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """One row for each document: id, text_hash, n_shingles, component_id (least id reachable), kept."""
+    rows, table = compared(docs, id_col, text_col, percent)
+    out = rows.join(table.select("digest", "component_id"), "digest", "left")
     component = F.coalesce("component_id", "id")
     kept = F.when(component.isNull(), True).otherwise(F.col("id").eqNullSafe(component))
     return out.select(F.col("id").alias(id_col), "text_hash", "n_shingles", component.alias("component_id"), kept.alias("kept"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """One document of each group: the one with the least id, once even if its row is repeated."""
-    rows = near_copies(docs, id_col, text_col, percent).filter("kept")
-    kept = materialise(rows.groupBy(F.col(id_col).alias("__p_id"), F.col("text_hash").alias("__p_hash")).agg(F.count(F.lit(1)).alias("__p_rows")))
+    """One document of each group: the one with the least id, nulls last, then the least hash of its text; once even if its row is repeated."""
+    rows, table = compared(docs, id_col, text_col, percent)
+    of = rows.select("id", "text_hash", "digest").join(table.select("digest", "component"), "digest", "left")
+    counted = of.groupBy("component", "id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "text_hash", "n")).alias("v")
+    chosen = counted.filter("component is not null").groupBy("component").agg(first).select("v.id", "v.text_hash", "v.n")
+    lone = counted.filter("component is null").select("id", "text_hash", "n")
+    kept = materialise(chosen.unionByName(lone).toDF("__p_id", "__p_hash", "__p_rows"))
     own = docs.toDF(*(f"__p_c{i}" for i in range(len(docs.columns))))
     at, text = (f"__p_c{docs.columns.index(c)}" for c in (id_col, text_col))
     marked = own.withColumns({"__p_id": F.col(at), "__p_hash": F.xxhash64(F.col(text).cast("string"))})

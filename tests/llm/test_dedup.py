@@ -69,6 +69,15 @@ def test_query_on_the_table(spark, sf):
     assert {r["doc_id"]: r["component_id"] for r in got} == want
 
 
+def test_keep_one_where_ids_do_not_tell(spark):
+    words = [f"w{k}" for k in range(200)]
+    near = lambda g, k: " ".join([g, *words[:100], f"x{k}", *(g + w for w in words)])
+    rows = [(None, near("a", k), "", 0) for k in range(3)] + [(4, near("b", k), "", 0) for k in range(3)] + [(None, near("c", 0), "", 0), (9, near("c", 1), "", 0)]
+    assert len(brute.near([x[1] for x in rows])[1]) == 7
+    out = minhash.keep_one(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted((x["text"][0], x["doc_id"]) for x in out) == [("a", None), ("b", 4), ("c", 9)]
+
+
 def test_keep_one_at_80(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()
     rows = [(d["doc_id"], d["text"], "", 0) for d in docs]
