@@ -21,18 +21,18 @@ rows are packed once for each row; an empty table gives no rows.
 from __future__ import annotations
 
 import math
-from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from plinth.llm.store import count_off, materialise
-from plinth.llm.words import REMEMBERED, arrow_map, texts_of
+from plinth.llm.words import REMEMBERED, arrow_map, own_array
 
 CAPACITY = 2048
 
@@ -120,12 +120,13 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[list[Rule
 
 
 class Pieces:
-    """Token ids of words as little-endian unsigned 32-bit, remembered.
+    """Token ids of texts, word by word, with the ids of words remembered.
 
     The tokenizer drops white space, at which no token crosses, and takes runs of
-    letters apart from what surrounds them; so a text is its words, and a word is its
-    letters and the marks behind them. What a batch needs and nobody remembers is
-    encoded together, as one text.
+    letters and digits apart from marks behind them; so a text is its words, and a word
+    its letters and the marks at its end. Arrow parts a batch's texts and numbers the
+    distinct words; only words that nobody remembers are encoded, letters-only ones
+    together as one text, and each text's ids are gathered by number.
     """
 
     def __init__(self, path: str) -> None:
@@ -133,51 +134,71 @@ class Pieces:
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
-        self.words: dict[bytes, bytes] = {}
-        self.cores: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-
-    def _cut(self, word: bytes) -> tuple[bytes, bytes]:
-        """A word as what is remembered and the marks behind it, which never join with an ASCII letter or digit."""
-        if b"<|" in word:  # may hold a special token, whose case matters
-            return word, b""
-        core = word.lower().rstrip(b".,;:!?")
-        return (core, word[len(core) :]) if core and core[-1:].isalnum() else (word.lower(), b"")
-
-    def _learn_cores(self, cores: set[bytes]) -> None:
-        if len(self.cores) >= REMEMBERED:  # the last generation stays at hand
-            self.older, self.cores = self.cores, {}
-        new = []
-        for core in cores - self.cores.keys():
-            if (known := self.older.get(core)) is not None:
-                self.cores[core] = known
-            else:
-                new.append(core)
-        plain = [c for c in new if c.decode().isalpha()]
+        self.known: dict[bytes, int] = {}
+        #: Ids of all remembered words end to end, and where each word's end.
+        self.ids, self.stops = np.empty(0, "<u4"), np.zeros(1, np.int64)
+
+    def _encoded(self, words: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _learn(self, words: list[bytes]) -> None:
+        decoded = [w.decode(errors="replace") for w in words]
+        found: list[np.ndarray | None] = [None] * len(words)
+        plain = [i for i, w in enumerate(decoded) if w.isalpha()]
         for at in range(0, len(plain), 1000):
             some = plain[at : at + 1000]
-            ids = self._ids(" ".join(c.decode() for c in some))
+            (ids,) = self._encoded([" ".join(decoded[i] for i in some)])
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(some):  # one end a word, so the words can be told apart
-                self.cores.update(zip(some, (x.tobytes() for x in np.split(ids, cuts[:-1]))))
-        for core in new:
-            if core not in self.cores:
-                self.cores[core] = self._ids(core.decode()).tobytes()
-
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        """Each text's ids and then id 0."""
-        split = [t.split() if t else [] for t in texts]
-        needed = set().union(*split)
-        if len(self.words) >= REMEMBERED:
-            self.words = {w: self.words[w] for w in needed & self.words.keys()}
-        cut = {w: self._cut(w) for w in needed - self.words.keys()}
-        self._learn_cores({part for pair in cut.values() for part in pair if part})
-        for word, (core, marks) in cut.items():
-            self.words[word] = self.cores[core] + (self.cores[marks] if marks else b"")
-        return [b"".join(map(self.words.__getitem__, words)) + bytes(4) for words in split]
+                for i, begin, end in zip(some, [0, *cuts[:-1].tolist()], cuts.tolist()):
+                    found[i] = ids[begin:end]
+        rest = [i for i, x in enumerate(found) if x is None]
+        for i, ids in zip(rest, self._encoded([decoded[i] for i in rest])):
+            found[i] = ids
+        self._store(words, np.concatenate(found), np.array([len(x) for x in found], np.int64))
+
+    def _store(self, words: list[bytes], ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
+        self.stops = np.concatenate((self.stops, self.stops[-1] + np.cumsum(lengths)))
+        self.ids = np.concatenate((self.ids, ids))
+
+    def _gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of remembered words end to end, and how many each has."""
+        starts = self.stops[numbers]
+        lengths = self.stops[numbers + 1] - starts
+        before = np.cumsum(lengths) - lengths
+        return self.ids[np.repeat(starts - before, lengths) + np.arange(lengths.sum())], lengths
+
+    def _numbers(self, words: list[bytes]) -> np.ndarray:
+        numbers = np.fromiter((self.known.get(w, -1) for w in words), np.int64, len(words))
+        if len(self.known) >= REMEMBERED:  # only what this batch needs stays
+            there = numbers >= 0
+            ids, lengths = self._gather(numbers[there])
+            self.known, self.ids, self.stops = {}, np.empty(0, "<u4"), np.zeros(1, np.int64)
+            self._store([w for w, t in zip(words, there) if t], ids, lengths)
+            numbers[there] = np.arange(len(lengths))
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            first = len(self.known)
+            self._learn([words[i] for i in new])
+            numbers[new] = np.arange(first, first + len(new))
+        return numbers
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All texts' ids end to end, each text's followed by id 0, and how many each text has with it."""
+        texts = own_array(texts)
+        # marks behind an ASCII letter or digit, or a small accented letter, never join with it
+        parted = pc.replace_substring_regex(pc.ascii_lower(texts), pattern=r"([a-z0-9\x{DF}-\x{F6}\x{F8}-\x{FF}])([.,;:!?]+)([ \t\n\v\f\r]|$)", replacement=r"\1 \2\3")
+        # a special token's case matters
+        split = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, parted))
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.cast(pa.large_binary()).to_pylist()
+        numbers = self._numbers(words)
+        places = np.asarray(split.offsets) - split.offsets[0].as_py()
+        in_order = numbers[np.asarray(coded.indices)]
+        ids, lengths = self._gather(in_order)
+        upto = np.concatenate((np.zeros(1, np.int64), np.cumsum(lengths)))[places]
+        return np.insert(ids, upto[1:], 0), np.diff(upto) + 1
 
 
 _loaded: dict[str, Pieces] = {}
@@ -194,23 +215,15 @@ def tokenise(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     kind = docs.schema[id_col].dataType
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        at, piece, start, tokens = [], [], [], []
-        for i, ids in enumerate(pieces_of(path).encode(texts_of(batch.column(1)))):
-            for k, s in enumerate(range(0, len(ids), 4 * capacity)):
-                at.append(i)
-                piece.append(k)
-                start.append(s // 4)
-                tokens.append(ids[s : s + 4 * capacity])
-        return pa.RecordBatch.from_arrays(
-            [
-                batch.column(0).take(pa.array(at, pa.int64())),
-                pa.array(piece, pa.int32()),
-                pa.array(start, pa.int64()),
-                pa.array([len(x) // 4 for x in tokens], pa.int64()),
-                pa.array(tokens, pa.binary()),
-            ],
-            names=["id", "piece", "start", "length", "tokens"],
-        )
+        ids, lengths = pieces_of(path).encode(batch.column(1))
+        many = -(-lengths // capacity)
+        at = np.repeat(np.arange(len(lengths)), many)
+        piece = np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)
+        start = piece * capacity
+        length = np.minimum(lengths[at] - start, capacity)
+        ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(length) * 4)).astype(np.int32)
+        tokens = pa.BinaryArray.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(ids))])
+        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), tokens], names=["id", "piece", "start", "length", "tokens"])
 
     out = arrow_map(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")), each, f"id {kind.simpleString()}, piece int, start long, length long, tokens binary")
     return out.withColumnRenamed("id", id_col)
@@ -219,30 +232,21 @@ def tokenise(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 def assign(pieces: DataFrame, order: list[str], capacity: int = CAPACITY) -> DataFrame:
     """pieces (materialised, with a column length) with sequence_id and offset."""
     counts = pieces.groupBy("length").count().collect()  # at most one row for each length up to the capacity
+    hottest = max((r["count"] for r in counts), default=0)
     rules, _ = plan({r["length"]: r["count"] for r in counts}, capacity)
-    first: dict[int, list[int]] = {}
-    for rule in rules:
-        first.setdefault(rule.length, []).append(rule.first)
-    by_rule = [(r.length, r.first, r.each, r.bin, r.offset) for r in rules]
-    spark = pieces.sparkSession
-    numbered = count_off(pieces, ["length"], order, "__p_number", max((r["count"] for r in counts), default=0))
-    shared = spark.sparkContext.broadcast((first, {(x[0], x[1]): x[2:] for x in by_rule}))
+    table = np.array(sorted((r.length, r.first, r.each, r.bin, r.offset) for r in rules), np.int64).reshape(-1, 5)
+    numbered = count_off(pieces, ["length"], order, "__p_number", hottest)
+    shared = pieces.sparkSession.sparkContext.broadcast(table)
     names = pieces.columns
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        starts, rule = shared.value
+        lengths, firsts, each, bins, offsets = shared.value.T
+        step = hottest + 1  # length and number as one sortable number
         for batch in batches:
-            lengths = batch.column("length").to_pylist()
-            numbers = batch.column("__p_number").to_pylist()
-            ids, offsets = [], []
-            for length, number in zip(lengths, numbers):
-                begin = starts[length]
-                low = begin[bisect_right(begin, number) - 1]
-                each, bin_, offset = rule[length, low]
-                far, within = divmod(number - low, each)
-                ids.append(bin_ + far)
-                offsets.append(offset + within * length)
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(ids, pa.int64()), pa.array(offsets, pa.int64())], names=[*names, "sequence_id", "offset"])
+            length, number = (np.asarray(batch.column(n), np.int64) for n in ("length", "__p_number"))
+            rule = np.searchsorted(lengths * step + firsts, length * step + number, "right") - 1
+            far, within = np.divmod(number - firsts[rule], each[rule])
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(bins[rule] + far), pa.array(offsets[rule] + within * length)], names=[*names, "sequence_id", "offset"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
     return numbered.mapInArrow(place, f"{schema}, sequence_id long, offset long")
