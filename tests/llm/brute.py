@@ -72,6 +72,71 @@ def quality_base(text):
     return len(w), sum(map(len, w)), sum(text.count(c) for c in "#*$%&|<>"), dup, len(hit)
 
 
+def jensen_shannon(a, b):
+    if not sum(a) or not sum(b):
+        return None
+    out = 0.0
+    for x, y in zip(a, b):
+        p, q = x / sum(a), y / sum(b)
+        out += sum(v * math.log2(2 * v / (p + q)) for v in (p, q) if v) / 2
+    return math.sqrt(max(out, 0.0))
+
+
+def char_classes(text):
+    """Lower case, upper case, digit, white space, stop, other mark, symbol, beyond ASCII."""
+    out = [0] * 8
+    for c in text or "":
+        if ord(c) > 127:
+            k = 7
+        elif c.isalpha():
+            k = int(c.isupper())
+        else:
+            k = 2 if c.isdigit() else 3 if c in " \t\n\v\f\r" else 4 if c in ".,;:!?'\"()-" else 6 if c in "#*$%&|<>" else 5
+        out[k] += 1
+    return out
+
+
+def word_bins(text, listed):
+    out = [0] * 32
+    for w in words(text):
+        w = lower_ascii(w).strip(".,;:!?\"'()")
+        out[listed.index(w) if w in listed else 31] += 1
+    return out
+
+
+def divergence(texts, langs, lists):
+    """chars_apart, words_apart and kept of each text: the prior, the first and the second sums, and the limits."""
+    base = [quality_base(t) for t in texts]
+    failed = [n < 50 or 2 * rep > n for n, _, _, _, rep in base]
+    chars = [char_classes(t) for t in texts]
+    bins = [word_bins(t, lists[g].split()[:31]) if g in lists else [0] * 32 for t, g in zip(texts, langs)]
+
+    def references(rows):
+        out = {}
+        for lang in {g for g, f in zip(langs, failed) if not f}:
+            own = [i for i in rows if langs[i] == lang]
+            c = [sum(chars[i][k] for i in own) for k in range(8)]
+            b = [sum(bins[i][k] for i in own) for k in range(32)]
+            letters = c[0] + c[1] + c[7]
+            shares = [x / letters for x in (c[0], c[1], c[7])] if letters else [0.97, 0.03, 0]
+            prior = [0.8 * shares[0], 0.8 * shares[1], 0.01, 0.16, 0.025, 0.005, 0, 0.8 * shares[2]]
+            ranks = sum(1 / k for k in range(1, 32))
+            often = [0.3 / k / ranks for k in range(1, 32)] + [0.7]
+            out[lang] = [x + 20000 * p for x, p in zip(c, prior)], [x + 3000 * p for x, p in zip(b, often)] if lang in lists else None
+        return out
+
+    def apart(refs, least_words):
+        out = []
+        for i, g in enumerate(langs):
+            c, b = refs.get(g, (None, None))
+            out.append((jensen_shannon(chars[i], c) if c and base[i][1] >= 200 else None, jensen_shannon(bins[i], b) if b and base[i][0] >= least_words else None))
+        return out
+
+    first = apart(references([i for i, f in enumerate(failed) if not f]), 100)
+    near = [i for i, (c, w) in enumerate(first) if not failed[i] and (c or 0) <= 0.30 and (w or 0) <= 0.31]
+    return [(c, w, not f and ((c or 0) / 0.30) ** 2 + ((w or 0) / 0.36) ** 2 <= 1) for (c, w), f in zip(apart(references(near), 50), failed)]
+
+
 def mix_targets(sizes, weights=(5, 2, 1), ratio=1.5, most=2):
     """sizes: source to size."""
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))

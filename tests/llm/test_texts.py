@@ -29,11 +29,31 @@ def test_quality_counts(spark):
 def test_repeated_words_both_ways():
     r = random.Random(6)
     for _ in range(200):
-        w = [r.choice("abcdefgh") for _ in range(r.randint(0, 30))]
-        ids = np.array([ord(x) - 97 for x in w], np.int64)
-        want = brute.quality_base(" ".join(w))[4]
-        assert quality.repeated_words(ids, 8 if len(w) > 10 else max(len(set(w)), 8) if w else 0) == want or len(w) - 8 < 3
-        assert quality.repeated_words(ids, 1 << 21) == want or len(w) - (1 << 21) < 3
+        texts = [[r.choice("abcdefgh") for _ in range(r.randint(0, 30))] for _ in range(r.randint(1, 4))]
+        ids = np.array([ord(x) - 97 for w in texts for x in w], np.int64)
+        of = np.repeat(np.arange(len(texts)), list(map(len, texts)))
+        want = [brute.quality_base(" ".join(w))[4] for w in texts]
+        for distinct in (8, 1 << 21, 1 << 40):
+            assert quality.repeated_words(ids, of, distinct, len(texts)).tolist() == want
+
+
+def test_verdicts_against_plain_sums(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    docs = [(d["doc_id"], d["text"], d["lang"]) for d in docs] + [(-1, docs[0]["text"], None), (-2, "#!" * 300 + " x" * 60, None), (-3, docs[1]["text"], "xx"), (-4, None, "de")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    want = brute.divergence([d[1] for d in docs], [d[2] for d in docs], quality.COMMON)
+    for r in quality.score(df).collect():
+        chars, words, kept = want[[d[0] for d in docs].index(r["doc_id"])]
+        assert r["chars_apart"] == (None if chars is None else pytest.approx(chars, abs=1e-9))
+        assert r["words_apart"] == (None if words is None else pytest.approx(words, abs=1e-9))
+        assert r["kept"] == kept
+    assert {r["doc_id"] for r in quality.keep_good(df).collect()} == {d[0] for d, (_, _, k) in zip(docs, want) if k}
+
+
+def test_every_language_is_judged(spark, sf):
+    for r in queries.op3_quality_rules(spark, sf).collect():
+        assert (r["words_apart"] is None) == (r["n_words"] < 50) and (r["chars_apart"] is None) == (r["word_chars"] < 200)
 
 
 def test_good_documents_stay_and_junk_goes(spark):
