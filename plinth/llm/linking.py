@@ -20,10 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plinth.llm.store import BROADCAST_ROWS, materialise, release
+from plinth.llm.store import is_small, materialise, release
 
-#: Nodes of a block when sketches are compared, and when payloads are; a task compares two blocks.
-SKETCH_BLOCK, BLOCK_NODES = 2048, 512
+#: Nodes of a block when sketches are compared, and when payloads are, and a block's bytes; a task compares two blocks.
+SKETCH_BLOCK, BLOCK_NODES, BLOCK_BYTES = 2048, 512, 8 << 20
 
 #: Nodes whose sets a worker holds at once while it reduces links.
 FOREST_NODES = 1_000_000
@@ -131,10 +131,12 @@ def _blocks(left_over: DataFrame, payloads: DataFrame, prepare: Prepare, block:
     Nodes of the group's main component, that of its least node, are compared with
     the others only, and the others with each other, block by block.
     """
-    sizes = left_over.groupBy("key").agg(F.count_if("main").alias("n_main"), F.count_if(~F.col("main")).alias("n_other"))
+    sized = left_over.join(payloads.select("node", F.octet_length("payload").alias("bytes")), "node")
+    amount = lambda on, what: (F.sum(F.when(on, 1).otherwise(0)).alias(f"n_{what}"), F.sum(F.when(on, F.col("bytes").cast("long")).otherwise(0)).alias(f"bytes_{what}"))
+    sizes = sized.groupBy("key").agg(*amount(F.col("main"), "main"), *amount(~F.col("main"), "other"))
     counted = left_over.join(sizes, "key")
-    many = lambda n: F.greatest(F.ceil(F.col(n) / block), F.lit(1)).cast("int")
-    of_main, of_other = many("n_main"), many("n_other")
+    many = lambda what: F.greatest(F.ceil(F.col(f"n_{what}") / block), F.ceil(F.col(f"bytes_{what}") / BLOCK_BYTES), F.lit(1)).cast("int")
+    of_main, of_other = many("main"), many("other")
     own = F.pmod(F.xxhash64("node"), F.when(F.col("main"), of_main).otherwise(of_other)).cast("int")
     upto = lambda n: F.sequence(F.lit(0), n - 1)
     group = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
@@ -224,10 +226,10 @@ def link(
         more = materialise(_blocks(left_over, known, linked[1], BLOCK_NODES, False))
         release(known)
         joined = materialise(components(first.unionByName(more)))
-    release(pairs, labelled, flagged)
+    release(pairs, labelled, flagged, left_over)
     return joined
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:
     """df marked for broadcast if it is counted to be small."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    return F.broadcast(df) if is_small(df) else df

@@ -4,8 +4,8 @@ Two small collections of bands are computed for each set of shingles, so many ta
 WIDTH minhashes each. A table's key is a pair of a band of the first and a band of the
 second collection, so 2 * tables * WIDTH minhashes serve tables ** 2 tables of
 2 * WIDTH minhashes. Sets of similarity s meet in no table with a probability below
-2 * (1 - s ** WIDTH) ** tables: 3e-5 at the least similarity that links. For 0.85 these are
-12 tables (7e-8 at 0.9), for 0.80, 16. A byte of each minhash makes a sketch; sets of the
+2 * (1 - s ** WIDTH) ** tables: 3e-5 at the least similarity that links. For 0.80 these are
+16 tables, for 0.85, 12 (7e-8 at 0.9). A byte of each minhash makes a sketch; sets of the
 least similarity agree in fewer of these than SHAPES says with a probability below 1e-6.
 Pairs that pass are verified on their full sets.
 
@@ -17,8 +17,11 @@ Defined results: A-Z are lower-cased; words are the runs of other than the six A
 white-space characters; a text of fewer words than a shingle has is one shingle; a null
 or wordless text has no set, is linked with nothing and is its own component; rows that
 share an id and a text are copies, those that share an id alone are rows of their own;
-rows with a null id are compared like others, and a component's least id ignores nulls.
-Shingles are compared by 64-bit hashes.
+rows with a null id are compared like others, and a component's least id ignores nulls;
+very long texts are read whole; of documents that tie for the one to keep, the least
+hash of the text decides, and of equal rows one stays; an empty table gives no rows.
+near_copies returns its own columns only, keep_one all of the input's under their names,
+whatever these are. Shingles are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -33,14 +36,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plinth.llm.linking import broadcast_if_small, link
-from plinth.llm.store import materialise, release, same
+from plinth.llm.store import join_small, materialise, release, same, scoped
 from plinth.llm.words import arrow_map, mixed, shingle_set, texts_of
 
 WIDTH, SHINGLE = 3, 5
 #: Least similarity, in percent, of linked sets, where none is given.
-PERCENT = 85
+PERCENT = 80
 #: For each least similarity: tables, and bytes of two sketches, of 2 * tables * WIDTH, that agree at least if the sets may be linked.
-SHAPES = {85: (12, 44), 80: (16, 56)}
+SHAPES = {80: (16, 56), 85: (12, 44)}
 TABLES, LEAST_ALIKE = SHAPES[PERCENT]
 
 
@@ -197,32 +200,47 @@ def compared(docs: DataFrame, id_col: str, text_col: str, percent: int) -> tuple
     return rows, named.join(least, "component").select("digest", "component", "component_id")
 
 
+@scoped
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row for each document: id, text_hash, n_shingles, component_id (least id reachable), kept."""
     rows, table = compared(docs, id_col, text_col, percent)
-    out = rows.join(table.select("digest", "component_id"), "digest", "left")
+    # rows without a set would all meet in one task
+    out = rows.filter("digest is not null").join(table.select("digest", "component_id"), "digest", "left").unionByName(rows.filter("digest is null"), allowMissingColumns=True)
     component = F.coalesce("component_id", "id")
     kept = F.when(component.isNull(), True).otherwise(F.col("id").eqNullSafe(component))
     return out.select(F.col("id").alias(id_col), "text_hash", "n_shingles", component.alias("component_id"), kept.alias("kept"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """One document of each group: the one with the least id, nulls last, then the least hash of its text; once even if its row is repeated."""
+@scoped
+def _verdicts(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """__p_id, __p_hash and __p_once of documents that don't simply stay: false if none of these rows stays, true if one of them does."""
     rows, table = compared(docs, id_col, text_col, percent)
-    of = rows.select("id", "text_hash", "digest").join(table.select("digest", "component"), "digest", "left")
-    counted = of.groupBy("component", "id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
-    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "text_hash", "n")).alias("v")
-    chosen = counted.filter("component is not null").groupBy("component").agg(first).select("v.id", "v.text_hash", "v.n")
-    lone = counted.filter("component is null").select("id", "text_hash", "n")
-    kept = materialise(chosen.unionByName(lone).toDF("__p_id", "__p_hash", "__p_rows"))
+    with_set = rows.filter("digest is not null").select("id", "text_hash", "digest").join(table.select("digest", "component"), "digest", "left")
+    of = with_set.select("component", "id", "text_hash").unionByName(rows.filter("digest is null").select(F.lit(None).cast("long").alias("component"), "id", "text_hash"))
+    counted = materialise(of.groupBy("component", "id", "text_hash").agg(F.count(F.lit(1)).alias("n")))
+    lone = counted.filter("component is null and n > 1").select("id", "text_hash", F.lit(True).alias("once"))
+    linked_ = counted.filter("component is not null")
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "text_hash")).alias("v")
+    groups = linked_.groupBy("component").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("rows"), first).filter("rows > 1")
+    chosen = groups.select("v.id", "v.text_hash", F.lit(True).alias("chosen"))
+    # a group's members and whether each is the one that stays
+    members = linked_.join(groups.select("component"), "component", "left_semi").select("id", "text_hash", "n")
+    told = members.alias("m").join(chosen.alias("c"), same("m", "c", ["id", "text_hash"]), "left").select("m.id", "m.text_hash", "m.n", F.col("c.chosen").isNotNull().alias("once"))
+    return told.filter("not once or n > 1").select("id", "text_hash", "once").unionByName(lone).toDF("__p_id", "__p_hash", "__p_once")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """One document of each group: the one with the least id, nulls last, then the least hash of its text; once even if its row is repeated.
+
+    Only keys of documents that go, or come repeated, are joined to the texts: broadcast
+    while they are few, else by a shuffle whose keys are salted.
+    """
+    special = _verdicts(docs, id_col, text_col, percent)
     own = docs.toDF(*(f"__p_c{i}" for i in range(len(docs.columns))))
     at, text = (f"__p_c{docs.columns.index(c)}" for c in (id_col, text_col))
     marked = own.withColumns({"__p_id": F.col(at), "__p_hash": F.xxhash64(F.col(text).cast("string"))})
-
-    def pick(which: DataFrame) -> DataFrame:
-        return marked.alias("d").join(which.alias("v"), same("d", "v", ["__p_id", "__p_hash"]), "left_semi")
-
-    out = pick(kept)
-    if kept.filter("__p_rows > 1").limit(1).count():
-        out = pick(kept.filter("__p_rows = 1")).unionByName(pick(kept.filter("__p_rows > 1")).dropDuplicates(["__p_id", "__p_hash"]))
-    return out.select(*own.columns).toDF(*docs.columns)
+    told = join_small(marked, special, ["__p_id", "__p_hash"], F.monotonically_increasing_id(), "left")
+    out = told.filter("__p_once is null").select(*own.columns)
+    if special.filter("__p_once").limit(1).count():
+        out = out.unionByName(told.filter("__p_once").dropDuplicates(["__p_id", "__p_hash"]).select(*own.columns))
+    return out.toDF(*docs.columns)

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plinth.llm.store import join_small, keep_names, materialise, release
+from plinth.llm.store import is_small, join_small, keep_names, materialise, release
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bits of the hash, and bits that each refinement settles.
@@ -96,24 +96,24 @@ def plan_mix(measured: DataFrame, weights: tuple[int, ...] = (5, 2, 1), ratio: f
     )
     release(ranked)
     names = ["source", "source_size", "target", "epochs"]
-    n = state.count()
+    few = is_small(state)
     left, width = HASH_BITS, HASH_BITS
     while left and state.filter("open").limit(1).count():
         left -= STEP_BITS
         # state.threshold has the settled leading bits of the boundary bucket
         active = state.filter("open").select("source", F.col("threshold").alias("_from"))
-        inside = join_small(measured, active, ["source"], F.col("hash"), rows=n)
+        inside = join_small(measured, active, ["source"], F.col("hash"), small_enough=few)
         inside = inside.filter(F.shiftright("hash", width) == F.shiftright("_from", width)) if width < HASH_BITS else inside
         bucket = F.shiftright("hash", left).alias("bucket")
         sums = inside.groupBy("source", bucket).agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("docs"))
         by = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         run = F.coalesce(F.sum("n").over(by), F.lit(0))
-        step = join_small(sums.withColumn("_to", run), state.select("source", "need"), ["source"], F.col("bucket"), rows=n)
+        step = join_small(sums.withColumn("_to", run), state.select("source", "need"), ["source"], F.col("bucket"), small_enough=few)
         first = step.filter(F.col("_to") > F.col("need")).groupBy("source").agg(F.min(F.struct("bucket", "_to", "n", "docs")).alias("_at"))
         low, before = F.shiftleft(F.col("_at.bucket"), left), F.col("need") - (F.col("_at._to") - F.col("_at.n"))
         done = (F.col("_at.docs") <= 1) | F.lit(left == 0)
         take = before * 2 >= F.col("_at.n")
-        joined = join_small(state, first, ["source"], F.xxhash64("source"), "left", rows=n)
+        joined = join_small(state, first, ["source"], F.xxhash64("source"), "left", small_enough=few)
         moved = F.col("open") & F.col("_at").isNotNull()
         new = materialise(
             joined.select(

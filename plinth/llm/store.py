@@ -3,19 +3,24 @@
 from __future__ import annotations
 
 import atexit
+import functools
 import math
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Rows up to which a side of a join is broadcast; its count is checked every time.
-BROADCAST_ROWS = 100_000
+#: Rows and bytes up to which a side of a join is broadcast; both are counted every time.
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 16 << 20
 #: Rows that one salt of a hot key should hold.
 ROWS_PER_SALT = 100_000
 
 _written: list[tuple[SparkSession, str]] = []
+#: Tables that the innermost scoped call has written.
+_scope: ContextVar[list[DataFrame] | None] = ContextVar("_scope", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -44,15 +49,36 @@ def materialise(df: DataFrame) -> DataFrame:
     _written.append((spark, path))
     out = spark.read.schema(df.schema).parquet(path)
     out._plinth_path = path
+    if (own := _scope.get()) is not None:
+        own.append(out)
     return out
 
 
+def scoped(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """An operator whose result is materialised, and whose other tables are deleted when it returns."""
+
+    @functools.wraps(operator)
+    def run(*args, **kwargs) -> DataFrame:
+        outer, own = _scope.get(), []
+        token = _scope.set(own)
+        try:
+            result = operator(*args, **kwargs)
+            _scope.set(outer)  # the result belongs to whoever called
+            return materialise(result)
+        finally:
+            _scope.reset(token)
+            release(*own)
+
+    return run
+
+
 def release(*frames: DataFrame) -> None:
     """Delete materialised frames that nothing will read again."""
     for df in frames:
         path = df._plinth_path
-        _delete(df.sparkSession, path)
-        _written[:] = [x for x in _written if x[1] != path]
+        if any(x[1] == path for x in _written):
+            _delete(df.sparkSession, path)
+            _written[:] = [x for x in _written if x[1] != path]
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -77,15 +103,28 @@ def same(left: str, right: str, keys: list[str]) -> Column:
     return out
 
 
-def join_small(df: DataFrame, small: DataFrame, keys: list[str], salt: Column, how: str = "inner", rows: int | None = None) -> DataFrame:
+def is_small(df: DataFrame) -> bool:
+    """Whether df may be broadcast: few rows, and few bytes, of which it counts those of texts and of arrays of numbers."""
+    width = F.lit(16 + 16 * len(df.columns))
+    for f in df.schema:
+        kind = f.dataType.simpleString()
+        if kind in ("string", "binary"):
+            width = width + F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0))
+        elif kind.startswith("array"):
+            width = width + 16 * F.greatest(F.size(f"`{f.name}`"), F.lit(0))
+    rows, size = df.limit(BROADCAST_ROWS + 1).agg(F.count(F.lit(1)), F.sum(width.cast("long"))).first()
+    return rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
+
+
+def join_small(df: DataFrame, small: DataFrame, keys: list[str], salt: Column, how: str = "inner", small_enough: bool | None = None) -> DataFrame:
     """df joined with a table of one row a key, whose other columns are new names.
 
-    Up to BROADCAST_ROWS rows (counted here unless rows says how many there are) the table is broadcast. Beyond that, a hot
-    key is dealt out: df's rows get a salt and the table one copy of each row a salt.
+    A small table is broadcast, which is_small tells unless the caller has asked it. Beyond that, a hot key is dealt out:
+    df's rows get a salt and the table one copy of each row a salt.
     """
     more = [c for c in small.columns if c not in keys]
     pick = [F.col(f"_a.`{c}`") for c in df.columns] + [F.col(f"_b.`{c}`") for c in more]
-    if (small.limit(BROADCAST_ROWS + 1).count() if rows is None else rows) <= BROADCAST_ROWS:
+    if is_small(small) if small_enough is None else small_enough:
         return df.alias("_a").join(F.broadcast(small).alias("_b"), same("_a", "_b", keys), how).select(*pick)
     n = 32
     salted = df.withColumn("__p_salt", F.pmod(salt, F.lit(n)).cast("int"))

@@ -3,15 +3,15 @@ import random
 import numpy as np
 import pytest
 
-from plinth.llm import embedding_dedup, linking, minhash, queries
+from plinth.llm import embedding_dedup, linking, minhash, queries, store
 from tests.llm import brute
 
 DOCS = "doc_id long, text string, node string, __p_id int"
 
 
-def compare(spark, rows):
-    got = minhash.near_copies(spark.createDataFrame(rows, DOCS)).collect()
-    sets, links = brute.near([r[1] for r in rows])
+def compare(spark, rows, percent=85):
+    got = minhash.near_copies(spark.createDataFrame(rows, DOCS), percent=percent).collect()
+    sets, links = brute.near([r[1] for r in rows], percent)
     least = brute.least_ids([r[0] for r in rows], links)
     want = sorted((r[0], len(s), c if s else r[0], c == r[0] if s else True) for r, s, c in zip(rows, sets, least) if r[0] is not None)
     assert sorted(tuple(r[c] for c in ("doc_id", "n_shingles", "component_id", "kept")) for r in got if r["doc_id"] is not None) == want
@@ -39,7 +39,8 @@ def test_groups_chains_and_strangers(spark):
             rows.append((len(rows), " ".join(step), "n", 1))
         rows += [(len(rows), " ".join(shared + [f"q{r.randrange(10**6)}" for _ in range(30)]), "n", 1) for _ in range(5)]
     _, links = compare(spark, rows)
-    assert len(links) > 50
+    _, more = compare(spark, rows, 80)
+    assert 50 < len(links) <= len(more)
 
 
 def test_odd_rows(spark):
@@ -48,6 +49,34 @@ def test_odd_rows(spark):
     compare(spark, rows)
 
 
+def test_default_is_80_percent(spark):
+    base = [f"w{k}" for k in range(104)]
+    rows = [(0, " ".join(base), "", 0), (1, " ".join(f"x{k}" if k in (20, 50) else w for k, w in enumerate(base)), "", 0)]  # 0.82 alike
+    assert [r["component_id"] for r in minhash.near_copies(spark.createDataFrame(rows, DOCS)).collect()] == [0, 0]
+    assert minhash.keep_one(spark.createDataFrame(rows, DOCS)).count() == 1
+
+
+def test_tables_too_large_to_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(store, "BROADCAST_ROWS", 2)
+    words = [f"w{k}" for k in range(60)]
+    rows = [(i, " ".join([*words, str(i % 3)]), "n", i) for i in range(12)] + [(50, "a b", "n", 1), (50, "a b", "n", 1), (None, "q", "n", 1), (None, "q", "n", 1), (None, None, "n", 1)]
+    out = minhash.keep_one(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted((str(r["doc_id"]), r["text"] is None) for r in out) == [("0", False), ("50", False), ("None", False), ("None", True)]
+
+
+def test_bytes_bound_a_broadcast(spark, monkeypatch):
+    df = spark.createDataFrame([("x" * 5000, [1.0] * 500)], "a string, b array<double>")
+    assert store.is_small(df) and store.is_small(df.limit(0))
+    monkeypatch.setattr(store, "BROADCAST_BYTES", 12_000)
+    assert not store.is_small(df) and store.is_small(df.select("a"))
+
+
+def test_tables_of_a_call_are_deleted(spark):
+    before = len(store._written)
+    minhash.near_copies(spark.createDataFrame([(1, "a b", "", 0)], DOCS))
+    assert len(store._written) == before + 1  # the result
+
+
 def test_empty_tables(spark):
     assert minhash.near_copies(spark.createDataFrame([], DOCS)).collect() == []
     assert minhash.keep_one(spark.createDataFrame([], DOCS)).collect() == []
