@@ -21,7 +21,6 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _HIDDEN = frozenset(("script", "style", "noscript", "svg"))
 _RAW = frozenset(("script", "style", "template"))
 _BLOCKS = frozenset(("div", "h3", "p", "li"))
-_KEPT = frozenset(("h1", "h2", "h3", "p", "li", "div", "span"))
 
 def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(n, t) for n, t in fields.items()])
@@ -29,15 +28,7 @@ def _struct(**fields: T.DataType) -> T.StructType:
 
 _S, _I = T.StringType(), T.IntegerType()
 #: What a page becomes. Built without a session, for workers import this module.
-SCHEMA = _struct(
-    page_text=_S,
-    visible_text=_S,
-    email_text=_S,
-    h1=_S,
-    og_title=_S,
-    anchors=T.ArrayType(_struct(pos=_I, href=_S, rel=_S, aria=_S, text=_S, data_x=_S)),
-    tokens=T.ArrayType(_struct(pos=_I, tag=_S, text=_S, data_x=_S, leaf=T.BooleanType())),
-)
+SCHEMA = _struct(visible_text=_S, email_text=_S, anchors=T.ArrayType(_struct(pos=_I, href=_S, rel=_S, aria=_S, text=_S)))
 
 
 class Node:
@@ -119,44 +110,20 @@ def clean(text: str) -> str:
     return " ".join(text.split())
 
 
-def deobfuscate(text: str) -> str:
-    """Addresses that are written out with at and dot, in words or in brackets."""
-
-    def spelled(m: re.Match[str]) -> str:
-        return f"{m[1]}@" + re.sub(r"\s+dot\s+", ".", m[2], flags=re.I)
-
-    text = re.sub(r"\b([a-z0-9._%+-]+)\s+at\s+([a-z0-9-]+(?:\s+dot\s+[a-z0-9-]+)+)\b", spelled, text, flags=re.I)
-    for word, sign in (("at", "@"), ("dot", ".")):
-        text = re.sub(rf"\s*(?:\[{word}\]|\({word}\)|\{{{word}\}})\s*", sign, text, flags=re.I)
-    return text
-
-
 def parse(html: str | None) -> dict:
+    """What shows of a page, with white space collapsed; the same as it stands, unescaped once more; its links."""
     page = Page(html or "")
-    heading = next((n for n in page.nodes if n.tag == "h1"), None)
-    title = next((n.attrs.get("content") for n in page.nodes if n.tag == "meta" and n.attrs.get("property") == "og:title"), None)
-    anchors, tokens = [], []
-    for pos, node in enumerate(page.nodes):
-        if node.tag == "a" and "href" in node.attrs:
-            a = node.attrs
-            anchors.append({"pos": pos, "href": a["href"], "rel": a.get("rel", ""), "aria": a.get("aria-label", ""), "text": clean(page.text(node)), "data_x": a.get("data-x")})
-        if node.tag in _KEPT and (node.tag != "div" or node.leaf) and (node.tag != "span" or node.attrs.get("data-x", "").startswith("attribute-")):
-            tokens.append({"pos": pos, "tag": node.tag, "text": clean(page.text(node)), "data_x": node.attrs.get("data-x"), "leaf": node.leaf})
     visible = page.text(visible=True)
+    links = [(pos, n) for pos, n in enumerate(page.nodes) if n.tag == "a" and "href" in n.attrs]
     return {
-        "page_text": clean(page.text()),
         "visible_text": re.sub(r"\s+", " ", visible),
-        "email_text": deobfuscate(unescape(visible)),
-        "h1": clean(page.text(heading)) if heading else None,
-        "og_title": title,
-        "anchors": anchors,
-        "tokens": tokens,
+        "email_text": unescape(visible),
+        "anchors": [{"pos": pos, "href": n.attrs["href"], "rel": n.attrs.get("rel", ""), "aria": n.attrs.get("aria-label", ""), "text": clean(page.text(n))} for pos, n in links],
     }
 
 
 @F.pandas_udf(SCHEMA)
 def parse_html(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     """struct of SCHEMA; call it once a page and take its fields from the result."""
-    names = ["page_text", "visible_text", "email_text", "h1", "og_title", "anchors", "tokens"]
     for htmls in batches:
-        yield pd.DataFrame([parse(h) for h in htmls], columns=names)
+        yield pd.DataFrame([parse(h) for h in htmls], columns=SCHEMA.names)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from plinth.functions.urls import let
+
 # Phrases that tell how clients pay and whether they are taken.
 SELF_PAY_TERMS = (
     "out of network", "out-of-network", "self pay", "self-pay", "private pay", "cash pay", "cash-pay",
@@ -14,7 +16,7 @@ NO_INSURANCE = ("no insurance", "do not accept insurance")
 WAITLIST = ("waitlist", "wait list")
 CLOSED = ("not accepting new clients", "unable to accept new clients", "not currently accepting clients")
 
-# Patterns of amounts and telephone numbers.
+# Patterns of amounts, of telephone numbers (whose digits are ASCII alone, as \d is here), and of a list of specialties.
 MONEY = r"\$\s?[0-9,]+(?:\s*(?:-|–|to)\s*\$?\s?[0-9,]+)?"
 PHONE = r"(?:\+1\s*)?\(?[0-9]{3}\)?[-.\s][0-9]{3}[-.\s][0-9]{4}"
 SPECIALIZE = r"(?i)I specialize in\s+(.+?)(?:\.|I accept|I see|$)"
@@ -94,18 +96,21 @@ def specialties_in(practice: Column) -> Column:
 
 def best_specialty(items: Column, top: Column, practice: Column, description: Column) -> Column:
     """The item with the highest score of occurrences and rank; of equals the first."""
-    p, d = fold(practice), fold(description)
-    tops = F.transform(top, fold)
+    folded = F.struct(fold(practice).alias("p"), fold(description).alias("d"), F.transform(top, fold).alias("tops"))
+
+    def best(t: Column) -> Column:
+        def scored(x: Column, i: Column) -> Column:
+            def of(phrase: Column) -> Column:
+                # of repeated spellings the last place counts
+                at = F.size(t["tops"]) - F.array_position(F.reverse(t["tops"]), phrase)
+                rank = F.when(F.array_contains(t["tops"], phrase), 20 - at).otherwise(0)
+                return occurrences(t["p"], phrase) * 5 + occurrences(t["d"], phrase) * 2 + rank
+
+            return F.struct(let(fold(x), of).alias("s"), (-i).alias("i"), x.alias("x"))
 
-    def scored(x: Column, i: Column) -> Column:
-        phrase = fold(x)
-        # of repeated spellings the last place counts
-        at = F.size(tops) - F.array_position(F.reverse(tops), phrase)
-        rank = F.when(F.array_contains(tops, phrase), 20 - at).otherwise(0)
-        score = occurrences(p, phrase) * 5 + occurrences(d, phrase) * 2 + rank
-        return F.struct(score.alias("s"), (-i).alias("i"), x.alias("x"))
+        return F.array_max(F.transform(items, scored))["x"]
 
-    return F.array_max(F.transform(items, scored))["x"]
+    return let(folded, best)
 
 
 def split_focus(items: Column) -> Column:
@@ -115,9 +120,12 @@ def split_focus(items: Column) -> Column:
 
 def rank_focus(items: Column, description: Column) -> Column:
     """struct(first, second): items by occurrences, of equals in their order."""
-    d = fold(description)
-    ranked = F.reverse(F.array_sort(F.transform(items, lambda x, i: F.struct(occurrences(d, fold(x)).alias("n"), (-i).alias("i"), x.alias("x")))))
-    return F.struct(F.get(ranked, F.lit(0))["x"].alias("first"), F.get(ranked, F.lit(1))["x"].alias("second"))
+
+    def ranked(d: Column) -> Column:
+        by = F.transform(items, lambda x, i: F.struct(let(fold(x), lambda phrase: occurrences(d, phrase)).alias("n"), (-i).alias("i"), x.alias("x")))
+        return let(F.reverse(F.array_sort(by)), lambda r: F.struct(F.get(r, F.lit(0))["x"].alias("first"), F.get(r, F.lit(1))["x"].alias("second")))
+
+    return let(fold(description), ranked)
 
 
 def payment_category(insured: Column, text: Column) -> Column:

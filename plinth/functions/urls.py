@@ -7,8 +7,9 @@ its own to a base needs Python; rooted, absolute and query-only references stay
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
-from urllib.parse import urljoin
+from urllib.parse import urljoin, urlsplit
 
 import pandas as pd
 from pyspark.sql import Column
@@ -112,12 +113,13 @@ def site_host(url: Column) -> Column:
 
 
 def normalize_url(url: Column) -> Column:
-    """Scheme and authority in lower case, an empty path as /, no fragment; else the stripped input."""
+    """Scheme and authority in lower case, an empty path as /, no fragment, no tab or line end; else the stripped input."""
 
-    def parts(u: Column) -> Column:
+    def parts(raw: Column) -> Column:
+        u = F.translate(raw, "\t\r\n", "")
         asked = F.when(query(u) != "", F.concat(F.lit("?"), query(u))).otherwise("")
         whole = F.concat(scheme(u), F.lit("://"), F.lower(netloc(u)), F.when(path(u) == "", "/").otherwise(path(u)), asked)
-        return F.when((scheme(u) == "") | (netloc(u) == ""), u).otherwise(whole)
+        return F.when((scheme(u) == "") | (netloc(u) == ""), raw).otherwise(whole)
 
     return let(strip(url), parts)
 
@@ -206,6 +208,34 @@ def url_priority(url: Column) -> Column:
     return let(F.regexp_replace(F.lower(path_only(url)), "^/+|/+$", ""), by_path)
 
 
+def link_target(href: str, base: str) -> str:
+    """normalize_page_url of one link, for code that must go link by link."""
+    h = href.strip()
+    if not h or h.casefold().startswith(SKIPPED_PREFIXES):
+        return ""
+    try:
+        to = urlsplit(urljoin(base, h))
+        host, number = to.hostname, to.port
+    except ValueError:
+        return ""
+    if to.scheme not in ("http", "https") or not host:
+        return ""
+    path_ = re.sub(r";[^/]*$", "", to.path).rstrip("/") or "/"
+    return "".join((to.scheme, "://", host, "" if number is None else f":{number}", path_, to.query and f"?{to.query}"))
+
+
+def link_site(url: str) -> str:
+    """site_host of one URL."""
+    return (urlsplit(url).hostname or "").removeprefix("www.")
+
+
+def link_priority(url: str) -> int:
+    """url_priority of one URL."""
+    path_ = re.sub(r";[^/]*$", "", urlsplit(url).path).lower().strip("/")
+    by_word = (value for value, words in PRIORITIES if any(w in path_ for w in words))
+    return next(by_word, OTHER_PRIORITY) if path_ else ROOT_PRIORITY
+
+
 def _segments(url: Column) -> Column:
     return F.filter(F.split(path_only(url), "/"), lambda s: s != "")
 

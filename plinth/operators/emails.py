@@ -12,13 +12,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plinth.functions import text as text_rules
 from plinth.functions import urls
 from plinth.functions.html import parse_html
+from plinth.sources.files import settled
 
 # The address pattern, domains and local parts that the rules name.
 LOCAL = r"[a-z0-9.!#$%&'*+/=?^_`{|}~-]+"
 LABEL = r"[a-z0-9](?:[a-z0-9-]{0,61}[a-z0-9])?"
 ADDRESS = rf"(?i)(?<![\w.+-]){LOCAL}@{LABEL}(?:\.{LABEL})+(?![\w.-])"
+SPELLED = r"(?i)\b([a-z0-9._%+-]+)\s+at\s+([a-z0-9-]+(?:\s+dot\s+[a-z0-9-]+)+)\b"
+BRACKETED = {"@": r"(?i)\s*(?:\[at\]|\(at\)|\{at\})\s*", ".": r"(?i)\s*(?:\[dot\]|\(dot\)|\{dot\})\s*"}
+#: Put before a pattern, for word characters, their ends and white space beyond ASCII.
+WIDE = "(?U)"
 FREE_DOMAINS = ("gmail.com", "outlook.com", "hotmail.com", "live.com", "yahoo.com", "icloud.com", "proton.me", "protonmail.com", "aol.com")
 ROLE_PARTS = ("contact", "hello", "info", "office", "intake", "appointments")
 LOW_VALUE_PARTS = ("support", "blog", "webmaster", "marketing", "sales", "billing", "careers", "jobs", "press", "media", "privacy", "legal")
@@ -54,20 +60,23 @@ def normalize(found: Column) -> Column:
 
 def deobfuscate(text: Column) -> Column:
     """Addresses written out with at and dot, in words or in brackets; as many dots as there are."""
-    spelled = F.regexp_replace(text, r"(?i)\b([a-z0-9._%+-]+)\s+at\s+([a-z0-9-]+(?:\s+dot\s+[a-z0-9-]+)+)\b", "$1\x01@$2\x02")
-    dots = F.when(spelled.contains("\x01@"), F.regexp_count(spelled, F.lit(r"(?i)\s+dot\s+"))).otherwise(0)
-    turns = F.when(dots > 0, F.sequence(F.lit(1), dots)).otherwise(F.array().cast("array<int>"))
-    out = F.aggregate(turns, spelled, lambda t, _: F.regexp_replace(t, "(?i)(\x01@[^\x02]*?)\\s+dot\\s+", "$1."))
-    out = F.translate(out, "\x01\x02", "")
-    for word, sign in (("at", "@"), ("dot", ".")):
-        out = F.regexp_replace(out, rf"(?i)\s*(?:\[{word}\]|\({word}\)|\{{{word}\}})\s*", sign)
+    spelled = F.regexp_replace(text, WIDE + SPELLED, "$1\x01@$2\x02")
+
+    def dotted(t: Column) -> Column:
+        dots = F.when(t.contains("\x01@"), F.regexp_count(t, F.lit(rf"{WIDE}(?i)\s+dot\s+"))).otherwise(0)
+        turns = F.when(dots > 0, F.sequence(F.lit(1), dots)).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(turns, t, lambda x, _: F.regexp_replace(x, f"{WIDE}(?i)(\x01@[^\x02]*?)\\s+dot\\s+", "$1."))
+
+    out = F.translate(urls.let(spelled, dotted), "\x01\x02", "")
+    for sign, pattern in BRACKETED.items():
+        out = F.regexp_replace(out, WIDE + pattern, sign)
     return out
 
 
 def observe_text(texts: DataFrame, text: str = "text") -> DataFrame:
     """site_id, page_url, email, source of plain texts: each address once a page. Native throughout."""
-    found = F.regexp_extract_all(deobfuscate(F.col(text)), F.lit(f"({ADDRESS})"), F.lit(1))
-    rows = texts.filter(F.col(text).contains("@") | F.col(text).rlike(r"(?i)\bat\b")).select("site_id", "page_url", F.explode(found).alias("m"))
+    found = F.regexp_extract_all(deobfuscate(F.col(text)), F.lit(f"{WIDE}({ADDRESS})"), F.lit(1))
+    rows = texts.filter(F.col(text).contains("@") | F.col(text).rlike(r"(?i)at")).select("site_id", "page_url", F.explode(found).alias("m"))
     return rows.select("site_id", "page_url", normalize(F.col("m")).alias("email"), F.lit("text").alias("source")).filter("email is not null").distinct()
 
 
@@ -108,15 +117,19 @@ def _observations(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd
         yield pd.Series([_observed(t, a) for t, a in zip(shown, anchors)], dtype="object")
 
 
-def observe_pages(pages: DataFrame) -> DataFrame:
-    """site_id, seq, ord, page_url, email, source, snippet of pages (site_id, seq, page_url, html)."""
-    parsed = pages.select("site_id", "seq", "page_url", parse_html("html").alias("p"))
-    rows = parsed.select("site_id", "seq", "page_url", F.explode(_observations("p.email_text", "p.anchors")).alias("o"))
+def observe_parsed(parsed: DataFrame) -> DataFrame:
+    """site_id, seq, ord, page_url, email, source, snippet of pages (site_id, seq, page_url, p: what parse_html gives)."""
+    rows = parsed.select("site_id", "seq", "page_url", F.explode(_observations(deobfuscate(F.col("p.email_text")), F.col("p.anchors"))).alias("o"))
     return rows.select("site_id", "seq", "o.ord", "page_url", "o.email", "o.source", "o.snippet")
 
 
+def observe_pages(pages: DataFrame) -> DataFrame:
+    """observe_parsed of pages (site_id, seq, page_url, html)."""
+    return observe_parsed(pages.select("site_id", "seq", "page_url", parse_html("html").alias("p")))
+
+
 def _letters(name: Column) -> Column:
-    return F.regexp_replace(F.lower(F.coalesce(name, F.lit(""))), "[^a-z0-9]", "")
+    return F.regexp_replace(text_rules.fold(F.coalesce(name, F.lit(""))), "[^a-z0-9]", "")
 
 
 def name_bonus(local_part: Column, first_name: Column, last_name: Column) -> Column:
@@ -201,6 +214,10 @@ def summarise(scored: DataFrame) -> DataFrame:
 
 
 def enrich(pages: DataFrame, sites: DataFrame) -> DataFrame:
-    """The e-mail fields of each site from its captured pages."""
-    seen = observe_pages(pages)
+    """enrich_seen of captured pages, each parsed once."""
+    return enrich_seen(settled(observe_pages(pages)), sites)
+
+
+def enrich_seen(seen: DataFrame, sites: DataFrame) -> DataFrame:
+    """The e-mail fields of each site from what was observed on its pages; seen is read twice."""
     return summarise(score(seen, sites).join(evidence(seen), ["site_id", "email"]))

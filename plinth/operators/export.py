@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from plinth.sources.files import write_csv
@@ -26,11 +26,11 @@ NAMED = ("directory", "source_city", "source_state", "profile_scrape_status", "w
 def created_after(since: datetime | None, within_hours: int | None, now: datetime | None) -> datetime | None:
     """The one bound on created_at; hours are counted back from now, which callers pass."""
     if since is not None and within_hours is not None:
-        raise ValueError("pass either created_since or created_within_hours, not both")
+        raise ValueError("created_since and created_within_hours exclude each other")
     if within_hours is None:
         return since
     if within_hours < 0:
-        raise ValueError("created_within_hours must be zero or greater")
+        raise ValueError("created_within_hours is negative")
     if now is None:
         raise ValueError("created_within_hours needs now")
     return now - timedelta(hours=within_hours)
@@ -71,9 +71,10 @@ def select_leads(
 
 def download(leads: DataFrame, path: str, **how) -> tuple[str, int, list[str]]:
     """Writes the selection as CSV; path, rows and columns."""
+    seen = Observation()
     rows = select_leads(leads, **how)
-    write_csv(rows, path)
-    return path, rows.count(), rows.columns
+    write_csv(rows.observe(seen, F.count(F.lit(1)).alias("rows")), path)
+    return path, seen.get["rows"], rows.columns
 
 
 def find(df: DataFrame, **key: object) -> DataFrame:

@@ -46,12 +46,14 @@ def release(pool: DataFrame, token: str, now: datetime) -> DataFrame:
 
 
 def reconcile(pool: DataFrame, listed: DataFrame, key: str = "proxy_url") -> DataFrame:
-    """key, is_active, change of pool (key, is_active) against a list (key, is_active).
+    """key, is_active, change of pool (key, is_active) against a list (key, is_active, position).
 
     change: added (whatever its flag), deactivated (missing or switched off),
-    reactivated, or same. Of a key listed twice the last is_active by order of value counts once.
+    reactivated, or same. Of a key listed twice the row with the greatest position counts;
+    a list without positions is taken in the order of its rows.
     """
-    once = listed.groupBy(key).agg(F.max("is_active").alias("is_active"))
+    placed = listed if "position" in listed.columns else listed.withColumn("position", F.monotonically_increasing_id())
+    once = placed.groupBy(key).agg(F.max_by("is_active", "position").alias("is_active"))
     joined = pool.select(key, "is_active").alias("p").join(once.alias("l"), F.col(f"p.{key}") == F.col(f"l.{key}"), "full")
     was, now = F.col("p.is_active"), F.col("l.is_active")
     known, there = F.col(f"p.{key}").isNotNull(), F.col(f"l.{key}").isNotNull()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plinth.functions import text, urls
@@ -55,12 +55,21 @@ def confidence(winning: Column, opposing: Column) -> Column:
     return F.greatest(F.lit(50), F.least(F.lit(100), 50 + F.least(F.lit(35), half) + F.least(F.lit(15), third))).cast("int")
 
 
-def unique_pages(pages: DataFrame) -> DataFrame:
-    """One page of each URL up to case and closing slashes, the first crawled."""
-    key = F.lower(F.regexp_replace("page_url", "/+$", ""))
-    key = F.when(key == "", "/").otherwise(key)
-    order = Window.partitionBy("site_id", "_key").orderBy("seq", "page_url")
-    return pages.withColumn("_key", key).withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_key", "_n")
+def page_key(page_url: Column) -> Column:
+    """A URL up to case and closing slashes."""
+    key = F.lower(F.regexp_replace(page_url, "/+$", ""))
+    return F.when(key == "", "/").otherwise(key)
+
+
+def counted(found: DataFrame) -> DataFrame:
+    """site_id, n_pages, hints of pages (site_id, seq, page_url, h: the places of their hints).
+
+    Of pages that share a key the first crawled counts. Only the short arrays of hints are
+    shuffled, and both aggregations combine before that.
+    """
+    first = F.min_by("h", F.struct("seq", "page_url")).alias("h")
+    once = found.groupBy("site_id", page_key(F.col("page_url")).alias("_key")).agg(first)
+    return once.groupBy("site_id").agg(F.count(F.lit(1)).alias("n_pages"), F.sort_array(F.array_distinct(F.flatten(F.collect_set("h")))).alias("hints"))
 
 
 def decide(counts: DataFrame) -> DataFrame:
@@ -86,6 +95,7 @@ def _tables() -> tuple[Column, Column]:
 
 
 def _said(i: Column) -> Column:
+    # The sentences of evidence, here and in classify.
     table = F.array(
         *(
             F.lit(
@@ -99,16 +109,24 @@ def _said(i: Column) -> Column:
     return F.get(table, i)
 
 
+def found_on(parsed: DataFrame) -> DataFrame:
+    """site_id, seq, page_url, h of pages (site_id, seq, page_url, p: what parse_html gives)."""
+    said = hits(F.lower(urls.path_only(F.col("page_url"))), F.col("_shown"))
+    return parsed.withColumn("_shown", text.fold(F.col("p.visible_text"))).select("site_id", "seq", "page_url", said.alias("h"))
+
+
 def classify(pages: DataFrame, sites: DataFrame) -> DataFrame:
-    """site_id, category, category_score, category_evidence of pages (site_id, seq, page_url, html).
+    """classify_found of pages (site_id, seq, page_url, html), each parsed once."""
+    return classify_found(found_on(pages.select("site_id", "seq", "page_url", parse_html("html").alias("p"))), sites)
+
+
+def classify_found(found: DataFrame, sites: DataFrame) -> DataFrame:
+    """site_id, category, category_score, category_evidence of what was found on pages (site_id, seq, page_url, h).
 
     sites: site_id, website_url. A hint counts once a site, wherever it stands.
     """
-    own = unique_pages(pages).select("site_id", "page_url", parse_html("html").alias("p"))
-    found = own.select("site_id", hits(F.lower(urls.path_only(F.col("page_url"))), text.fold(F.col("p.visible_text"))).alias("h"))
-    counted = found.groupBy("site_id").agg(F.count(F.lit(1)).alias("n_pages"), F.sort_array(F.array_distinct(F.flatten(F.collect_set("h")))).alias("hints"))
     org = urls.site_host(F.col("website_url")).endswith(".org")
-    decided = decide(counted.join(sites.select("site_id", org.alias("org")), "site_id"))
+    decided = decide(counted(found).join(sites.select("site_id", org.alias("org")), "site_id"))
     sides, _ = _tables()
     won = F.regexp_extract("category", "^[a-z]+", 0)
     n = F.col("n_pages").cast("string")

@@ -8,15 +8,17 @@ for record snapshots. Samples are invented pages for what no table exercises.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plinth.functions import text, urls
+from plinth.functions.html import parse_html
 from plinth.operators import crawl, emails, export, leases, links, practice, profile, runs, state
-from plinth.plans import samples
-from plinth.sources.files import parse_bool, table
-from plinth.sources.schemas import PROFILES, fit
+from plinth.plans import expected, samples
+from plinth.sources.files import parse_bool, read_resources, scratch, settled, table, write_csv
+from plinth.sources.schemas import PROFILES, RUNS, fit
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -76,10 +78,8 @@ SELECT site AS site_id, CAST(n AS BIGINT) AS n_pages, CASE WHEN is_group THEN 'g
 def practice_by_host(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G1, G3-G5, G7, G8 by the addresses alone: native, only the column url is read."""
     pages = table(spark, sf_dir, "pages").select(urls.site_host(F.col("url")).alias("site_id"), F.col("page_id").alias("seq"), F.col("url").alias("page_url"))
-    own = practice.unique_pages(pages)
-    found = own.select("site_id", practice.hits(F.lower(urls.path_only(F.col("page_url"))), F.lit("")).alias("h"))
-    counted = found.groupBy("site_id").agg(F.count(F.lit(1)).alias("n_pages"), F.sort_array(F.array_distinct(F.flatten(F.collect_set("h")))).alias("hints"))
-    return practice.decide(counted.withColumn("org", F.col("site_id").endswith(".org"))).select("site_id", "n_pages", "category", "category_score")
+    found = pages.select("site_id", "seq", "page_url", practice.hits(F.lower(urls.path_only(F.col("page_url"))), F.lit("")).alias("h"))
+    return practice.decide(practice.counted(found).withColumn("org", F.col("site_id").endswith(".org"))).select("site_id", "n_pages", "category", "category_score")
 
 
 @query(f"SELECT site_id, category, category_score FROM ({_practice_sql(('url', 'text'))})")
@@ -290,6 +290,32 @@ def profile_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.save_profiles(fit(base, PROFILES), found).select("source_profile_id", "source_city", "profile_scrape_status", "first_name")
 
 
+_NO_SCHEME = {0: "'__unavailable__'", 1: "'https://a.test/x'", 2: "'ftp://a.test'", 3: "'https:///x'", 4: "NULL", 5: "'HTTPS://B.test/Path/'"}
+
+
+@query(f"""WITH u AS (SELECT o_orderkey AS k, CASE o_orderkey % 6 {' '.join(f'WHEN {i} THEN {v}' for i, v in _NO_SCHEME.items())} END AS u FROM orders)
+SELECT k, k % 6 IN (1, 5) AS available, CASE k % 6 WHEN 0 THEN '__unavailable__' WHEN 1 THEN 'https://a.test/x' WHEN 2 THEN 'ftp://a.test' WHEN 3 THEN 'https:///x' WHEN 5 THEN 'https://b.test/path' END AS canonical FROM u""")
+def redirect_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C16, C18 over addresses made from orders."""
+    u = F.expr(f"CASE o_orderkey % 6 {' '.join(f'WHEN {i} THEN {v}' for i, v in _NO_SCHEME.items())} END")
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), u.alias("u"))
+    return rows.select("k", urls.is_available_redirect(F.col("u")).alias("available"), urls.canonical(F.col("u")).alias("canonical"))
+
+
+_TERMS = ["No insurance. I take self pay.", "I accept insurance.", "We accept insurance, out-of-network too", "Waitlist only. Not accepting new clients", "Not currently accepting clients; private pay", "hello", ""]
+
+
+@query(f"""WITH t(i, said) AS (SELECT * FROM {values(list(enumerate(_TERMS)))} AS v(i, said))
+SELECT n_nationkey AS k, i, CASE i WHEN 1 THEN CASE WHEN n_nationkey % 2 = 0 THEN 'insurance_only' ELSE 'insurance_only' END WHEN 2 THEN 'hybrid' WHEN 0 THEN 'self_pay' WHEN 4 THEN CASE WHEN n_nationkey % 2 = 0 THEN 'hybrid' ELSE 'self_pay' END
+  WHEN 6 THEN CASE WHEN n_nationkey % 2 = 0 THEN 'insurance_only' END ELSE CASE WHEN n_nationkey % 2 = 0 THEN 'insurance_only' ELSE 'self_pay' END END AS payment_category,
+  CASE i WHEN 3 THEN 'waitlist' WHEN 4 THEN 'not_accepting_new_clients' ELSE 'accepting_new_clients' END AS availability_status FROM nation, t""")
+def terms_and_availability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every nation says each of a list of sentences; even ones list insurers."""
+    said = F.posexplode(F.array(*(F.lit(t) for t in _TERMS))).alias("i", "said")
+    rows = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"), said)
+    return rows.select("k", "i", text.payment_category(F.col("k") % 2 == 0, F.col("said")).alias("payment_category"), text.availability(F.col("said")).alias("availability_status"))
+
+
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as profile records."""
     k = F.col("o_orderkey")
@@ -307,6 +333,15 @@ _RECORDS_SQL = """rec AS (SELECT CAST(o_orderkey AS INTEGER) AS id, 'PT:' || CAS
   CASE o_orderstatus WHEN 'O' THEN 'pending' WHEN 'F' THEN 'failed' ELSE 'completed' END AS st, o_orderkey % 11 = 0 AS busy, CAST(o_orderkey % 4 AS INTEGER) AS attempts, o_orderkey AS k FROM orders)"""
 
 
+_KNOWN = {"id": "id", "source_profile_id": "source_profile_id", "source_city": "source_city", "website_url": "'https://a.test'", "destination_type": "CASE WHEN k % 5 = 0 THEN 'owned_website' ELSE 'directory' END"}
+
+
+@query(f"""WITH {_RECORDS_SQL} SELECT {', '.join(f'{_KNOWN.get(c, "NULL")} AS {c}' for c in export.DEFAULT_COLUMNS)} FROM rec WHERE source_city = '1-URGENT' AND st = 'failed' ORDER BY id""")
+def export_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default columns; a filter overrides what is given by name."""
+    return export.select_leads(_records(spark, sf_dir), filters={"source_city": "1-URGENT"}, source_city="5-LOW", profile_scrape_status="failed")
+
+
 @query(f"""WITH {_RECORDS_SQL}, c AS (SELECT id FROM rec WHERE st = 'pending' AND NOT busy AND created_at >= TIMESTAMP '1996-01-01' AND source_city = '1-URGENT' ORDER BY id LIMIT 25)
 SELECT id, busy OR id IN (SELECT id FROM c) AS profile_is_processing, CAST(attempts + CASE WHEN id IN (SELECT id FROM c) THEN 1 ELSE 0 END AS INTEGER) AS profile_scrape_attempts,
   CASE WHEN id IN (SELECT id FROM c) THEN NULL ELSE 'old' END AS profile_scrape_last_error FROM rec""")
@@ -360,18 +395,36 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.summary(table(spark, sf_dir, "orders").select(F.when(s == "O", "completed").when(s == "F", "requeued").otherwise("failed").alias("status")))
 
 
-@query("""WITH p AS (SELECT s_name, s_suppkey % 3 <> 0 AS is_active FROM supplier WHERE s_suppkey % 5 <> 0), l AS (SELECT s_name, s_suppkey % 2 = 0 AS is_active FROM supplier WHERE s_suppkey % 7 <> 0)
+@query("""WITH p AS (SELECT s_name, s_suppkey % 3 <> 0 AS is_active FROM supplier WHERE s_suppkey % 5 <> 0), l AS (SELECT s_name, s_suppkey % 2 = 0 AND s_suppkey % 13 <> 0 AS is_active FROM supplier WHERE s_suppkey % 7 <> 0)
 SELECT coalesce(p.s_name, l.s_name) AS proxy_url, coalesce(l.is_active, FALSE) AS is_active,
   CASE WHEN p.s_name IS NULL THEN 'added' WHEN p.is_active AND (l.s_name IS NULL OR NOT l.is_active) THEN 'deactivated' WHEN l.s_name IS NOT NULL AND NOT p.is_active AND l.is_active THEN 'reactivated' ELSE 'same' END AS change
 FROM p FULL JOIN l ON p.s_name = l.s_name""")
 def pool_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers as a pool and as the list it is reconciled with."""
+    """Suppliers as a pool and as the list it is reconciled with; every 13th is listed again later, switched off."""
     s, k = table(spark, sf_dir, "supplier"), F.col("s_suppkey")
     pool = s.filter(k % 5 != 0).select(F.col("s_name").alias("proxy_url"), (k % 3 != 0).alias("is_active"))
-    listed = s.filter(k % 7 != 0).select(F.col("s_name").alias("proxy_url"), parse_bool(F.when(k % 2 == 0, " Yes ").otherwise("off")).alias("is_active"))
+    entry = lambda rows, flag, at: rows.filter(k % 7 != 0).select(F.col("s_name").alias("proxy_url"), parse_bool(flag).alias("is_active"), F.lit(at).alias("position"))
+    listed = entry(s.filter(k % 13 == 0), F.lit("0"), 2).unionByName(entry(s, F.when(k % 2 == 0, " Yes ").otherwise("off"), 1))
     return leases.reconcile(pool, listed)
 
 
+@query("""SELECT 'http://u' || CAST(s_suppkey AS VARCHAR) || ':p@proxy.test:' || CAST(1000 + s_suppkey AS VARCHAR) AS proxy_url, s_suppkey % 3 <> 0 AS is_active FROM supplier WHERE s_suppkey % 4 <> 0""")
+def resource_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1-A3: suppliers as a CSV file in the shared folder, with a byte-order mark, spaces, blank URLs and blank flags, read back and checked."""
+    k = F.col("s_suppkey")
+    url = F.concat(F.lit("  http://u"), k.cast("string"), F.lit(":p@proxy.test:"), (k + 1000).cast("string"), F.lit(" "))
+    rows = table(spark, sf_dir, "supplier").select(F.when(k % 4 != 0, url).otherwise(" ").alias("proxy_url"), F.when(k % 3 == 0, " Off").when(k % 3 == 1, "").otherwise("YES").alias("enabled"))
+    path = scratch(spark)
+    write_csv(rows, path)
+    return read_resources(spark, path).drop("position")
+
+
+@query("SELECT c_custkey, c_name, c_nationkey FROM customer WHERE c_custkey = 7 AND c_nationkey >= 0")
+def point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A7."""
+    return export.find(table(spark, sf_dir, "customer"), c_custkey=7).select("c_custkey", "c_name", "c_nationkey")
+
+
 _POOL_SQL = "pool AS (SELECT CAST(s_suppkey AS INTEGER) AS id, s_suppkey % 9 <> 0 AS is_active, s_suppkey % 4 = 0 AS is_in_use, CAST(s_suppkey % 3 AS INTEGER) AS times_used, s_suppkey % 8 = 0 AS out FROM supplier)"
 
 
@@ -422,29 +475,68 @@ def resumable_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.resumable(rows).select("id", "status")
 
 
-@query()
+@query(expected.sql("discovery_progress"))
 def discovery_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D1, D2, D6 over invented listings."""
     return links.discovery(samples.listings(spark), max_profiles=5, max_pages=4)
 
 
-@query()
+@query(expected.sql("profile_extract"))
 def profile_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E1-E17 over invented profiles."""
     return profile.extract(samples.profiles(spark))
 
 
-@query()
+@query(expected.sql("crawl_frontier"))
 def crawl_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D4 over invented captures."""
     return crawl.crawl(samples.captured(spark), max_pages=5).drop("html")
 
 
-@query()
+@query(expected.sql("crawl_by_url"))
+def crawl_by_url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D5 over the same captures."""
+    return crawl.crawl(samples.captured(spark), max_pages=30, by_url=True).drop("html")
+
+
+@query(expected.sql("emails_in_hard_texts"))
+def emails_in_hard_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1, F3-F5 over texts in which letters and spaces beyond ASCII and spelled-out signs matter."""
+    return emails.observe_text(samples.hard_texts(spark)).select("page_url", "email")
+
+
+@query(expected.sql("name_bonuses"))
+def name_bonuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F10 over invented names."""
+    return samples.names(spark).select("k", emails.name_bonus(F.col("part"), F.col("first"), F.col("last")).alias("bonus"))
+
+
+@query(expected.sql("run_progress"))
+def run_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs are started; one goes on, one ends, one is left pending."""
+    rows = spark.createDataFrame([], RUNS)
+    for n in (1, 2, 3):
+        rows = runs.start(rows, n, "psychology_today", f"https://d.test/{n}", 10 * n, 5, AS_OF)
+    rows = runs.update(rows, 1, pages_completed=2, unique_profile=7, next_page_url="https://d.test/1?page=3")
+    rows = runs.finish(runs.finish(rows, 2, "completed", AS_OF), 3, "pending", AS_OF, "stopped")
+    return rows.select("id", "status", "pages_completed", "unique_profile", "next_page_url", "last_error", F.col("completed_at").isNotNull().alias("ended"))
+
+
+@query(expected.sql("resumable_by_arguments"))
+def resumable_by_arguments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each request resumes; a running run goes before whatever is asked for."""
+    idle, busy = samples.open_runs(spark), samples.open_runs(spark, running=True)
+    asked = {"any": {}, "status": {"status": "failed"}, "id": {"run_id": 4}, "url": {"start_url": "https://d.test/2"}, "none": {"directory": "other"}}
+    found = [runs.resumable(rows, **how).select(F.lit(f"{name}, {state_}").alias("asked"), "id") for state_, rows in (("idle", idle), ("running", busy)) for name, how in asked.items()]
+    return reduce(DataFrame.unionByName, found)
+
+
+@query(expected.sql("website_enrichment"))
 def website_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Crawl, mail and class of invented sites."""
-    pages = crawl.crawl(samples.captured(spark)).filter("error is null").drop("error")
+    """Crawl, mail and class of invented sites; one crawl, one parse a page."""
+    pages = crawl.crawl(samples.captured(spark)).filter("error is null")
+    parsed = settled(pages.select("site_id", "seq", "page_url", parse_html("html").alias("p")))
     sites = samples.sites(spark)
-    mail = emails.enrich(pages, sites)
-    kind = practice.classify(pages, sites).withColumn("category_evidence", F.to_json("category_evidence"))
+    mail = emails.enrich_seen(settled(emails.observe_parsed(parsed)), sites)
+    kind = practice.classify_found(practice.found_on(parsed), sites).withColumn("category_evidence", F.to_json("category_evidence"))
     return kind.join(mail, "site_id", "left")

@@ -44,3 +44,23 @@ def captured(spark: SparkSession) -> DataFrame:
 def sites(spark: SparkSession) -> DataFrame:
     rows = [(s, f"https://{s}", "Jo", "Sample") for s in ("oak.test", "elm.test", "fir.test")]
     return spark.createDataFrame(rows, "site_id string, website_url string, first_name string, last_name string")
+
+
+def hard_texts(spark: SparkSession) -> DataFrame:
+    nbsp = "\u00a0"
+    said = [
+        "\u00e9contact@a.test", "x@a.test\u00e9", "(x@b.test)", f"jo{nbsp}at{nbsp}c{nbsp}dot{nbsp}test", "jo at d dot mail dot test.", "\u00e9jo at e dot test", "JO [AT] f (dot) TEST",
+        "look at this", "a+b@g.test, c@g.test; c@g.test", "noreply@h.test y@example.com z@i.png", ".x@j.test", "x..y@k.test", "x@-l.test", "x@m.test-y", "two{at}n.test{dot}org", None, "",
+    ]
+    return spark.createDataFrame([("s", f"p{i:02d}", t) for i, t in enumerate(said)], "site_id string, page_url string, text string")
+
+
+def names(spark: SparkSession) -> DataFrame:
+    rows = [(1, "jo.weiss", "Jo", "Wei\u00df"), (2, "weiss", None, "WEI\u1e9e"), (3, "jo", "Jo", ""), (4, "dojo", "Jo", "Do"), (5, "do.x.jo", "Jo", "Do"), (6, "info", "Jo", "Do"), (7, "jose", "Jos\u00e9", None), (8, "jos", "Jos\u00e9", None)]
+    return spark.createDataFrame(rows, "k int, part string, first string, last string")
+
+
+def open_runs(spark: SparkSession, running: bool = False) -> DataFrame:
+    rows = [(1, "a", "https://d.test/1", "completed", 1, "x"), (2, "a", "https://d.test/2", "pending", 3, "x"), (3, "a", "https://d.test/3", "failed", 2, "x"), (4, "a", "https://d.test/2", "failed", 4, "x"), (5, "a", "https://d.test/5", "pending", 0, None)]
+    rows += [(6, "a", "https://d.test/6", "running", 9, "x"), (7, "a", "https://d.test/7", "running", 8, "x")] if running else []
+    return spark.createDataFrame(rows, "id int, directory string, start_url string, status string, day int, next_page_url string").selectExpr("id", "directory", "start_url", "status", "next_page_url", "timestamp_seconds(86400 * day) AS created_at", "CAST(NULL AS timestamp) AS completed_at")

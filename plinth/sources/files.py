@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +18,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """spark.checkpoint.dir, which driver and executors share; only a local session may leave it unset."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        found = tempfile.mkdtemp(prefix="plinth-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df checkpointed in the shared folder, for what is dear to make and read more than once."""
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(f"{shared_dir(df.sparkSession)}/checkpoints")
+    return df.checkpoint()
+
+
 def parse_bool(value: Column, default: bool = True) -> Column:
     """True, false, the default for blank, an error otherwise."""
     v = F.lower(F.trim(F.coalesce(value, F.lit(""))))
@@ -29,14 +51,14 @@ def is_resource_url(url: Column) -> Column:
 
 
 def read_resources(spark: SparkSession, path: str) -> DataFrame:
-    """proxy_url and is_active of a CSV file; blank URLs go, others must be whole."""
+    """proxy_url, is_active and position (in the file) of a CSV file; blank URLs go, others must be whole."""
     raw = spark.read.option("header", True).option("encoding", "UTF-8").option("multiLine", True).csv(path)
     named = raw.toDF(*(c.lstrip("﻿") for c in raw.columns))
     if "proxy_url" not in named.columns:
         raise ValueError("the CSV file must have a column proxy_url")
     enabled = F.col("enabled") if "enabled" in named.columns else F.lit(None).cast("string")
     url = F.trim("proxy_url")
-    rows = named.filter(F.coalesce(url, F.lit("")) != "").select(url.alias("proxy_url"), parse_bool(enabled).alias("is_active"))
+    rows = named.filter(F.coalesce(url, F.lit("")) != "").select(url.alias("proxy_url"), parse_bool(enabled).alias("is_active"), F.monotonically_increasing_id().alias("position"))
     wrong = F.raise_error(F.concat(F.lit("proxy_url must include scheme, host, port, and username: "), F.col("proxy_url"))).cast("string")
     return rows.withColumn("proxy_url", F.when(is_resource_url(F.col("proxy_url")), F.col("proxy_url")).otherwise(wrong))
 
@@ -49,3 +71,8 @@ def write_csv(df: DataFrame, path: str, single: bool = True) -> None:
 
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
+
+
+def scratch(spark: SparkSession) -> str:
+    """A path of its own in the shared folder."""
+    return f"{shared_dir(spark)}/plinth-{uuid.uuid4().hex}"

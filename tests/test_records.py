@@ -111,7 +111,7 @@ def test_runs(spark):
 def test_resource_csv(spark, tmp_path):
     path = tmp_path / "p.csv"
     path.write_bytes("﻿proxy_id,proxy_url,enabled\n1, http://u:p@h.test:1 ,\n2,http://u:p@h.test:2,Off\n3,,yes\n".encode())
-    assert sorted(map(tuple, files.read_resources(spark, str(path)).collect())) == [("http://u:p@h.test:1", True), ("http://u:p@h.test:2", False)]
+    assert sorted(map(tuple, files.read_resources(spark, str(path)).drop("position").collect())) == [("http://u:p@h.test:1", True), ("http://u:p@h.test:2", False)]
     path.write_text("proxy_url,enabled\nhttp://h.test:1,maybe\n")
     with pytest.raises(Exception):
         files.read_resources(spark, str(path)).collect()
@@ -141,3 +141,18 @@ def test_streamed_upserts(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert [r["profile_url"] for r in kept["now"].collect()] == ["u2"]
+
+
+def test_the_last_listing_of_a_key_counts(spark):
+    have = spark.createDataFrame([("a", False), ("b", True)], "proxy_url string, is_active boolean")
+    listed = spark.createDataFrame([("a", False, 2), ("a", True, 3), ("b", False, 9), ("b", True, 1)], "proxy_url string, is_active boolean, position int")
+    assert sorted(map(tuple, leases.reconcile(have, listed).collect())) == [("a", True, "reactivated"), ("b", False, "deactivated")]
+    in_order = spark.createDataFrame([("a", True), ("a", False)], "proxy_url string, is_active boolean").coalesce(1)
+    assert leases.reconcile(have, in_order).filter("proxy_url = 'a'").first()["is_active"] is False
+
+
+def test_append_and_find(spark, tmp_path):
+    df = records(spark, [(1, "a"), (2, "b")], "id int, source_city string")
+    files.append(df, str(tmp_path / "t"))
+    files.append(df.filter("id = 2"), str(tmp_path / "t"))
+    assert [r["id"] for r in export.find(spark.read.parquet(str(tmp_path / "t")), source_city="b").collect()] == [2, 2]

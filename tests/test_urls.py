@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from plinth.functions import urls
-from plinth.operators import crawl
 
 
 def one(spark, column, *values):
@@ -43,7 +42,7 @@ PAGES = [
 @pytest.mark.parametrize("href, base, want", PAGES)
 def test_normalize_page_url(spark, href, base, want):
     assert one(spark, urls.normalize_page_url, href, base) == want
-    assert crawl.page_url(href, base) == want
+    assert urls.link_target(href, base) == want
 
 
 def test_native_joins_equal_the_library(spark):
@@ -61,7 +60,7 @@ def test_native_joins_equal_the_library(spark):
 )
 def test_priority(spark, path, want):
     assert one(spark, urls.url_priority, f"https://contact.test{path}") == want
-    assert crawl.priority(f"https://contact.test{path}") == want
+    assert urls.link_priority(f"https://contact.test{path}") == want
 
 
 @pytest.mark.parametrize(
