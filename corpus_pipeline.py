@@ -3,6 +3,13 @@
 Each stage takes all that its predecessor kept. The first three return documents, with
 the columns of the table documents; the last returns where each piece of tokens goes.
 A document that the mix takes twice is two rows.
+
+Defined results are those of the operators: a null or empty text fails the quality
+rules; near copies of similarity 0.80 or more on five-word shingles are one group, of
+which the least id stays, once if its row is repeated; a null language or source is one
+of its own; very long texts are read whole; ties go by a text's hash; an empty table
+gives no rows; columns beside doc_id, text, lang, source and n_chars pass through all
+stages but the last under their names.
 """
 
 from __future__ import annotations
@@ -25,7 +32,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return minhash.keep_one(docs)
+    return minhash.keep_one(docs, percent=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
