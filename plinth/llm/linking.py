@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plinth.llm.store import is_small, materialise, release
+from plinth.llm.words import arrow_stream
 
 #: Nodes of a block when sketches are compared, and when payloads are, and a block's bytes; a task compares two blocks.
 SKETCH_BLOCK, BLOCK_NODES, BLOCK_BYTES = 2048, 512, 8 << 20
@@ -75,7 +76,7 @@ def verified(pairs: DataFrame, payloads: DataFrame, verify: Verify) -> DataFrame
             ok = pa.array([x for p in parts for x in verify(p.column(2).to_pylist(), p.column(3).to_pylist()).tolist()], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["a", "b"])
 
-    return both.mapInArrow(each, "a long, b long")
+    return arrow_stream(both, each, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -103,7 +104,7 @@ def components(links: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([found.find(x) for x in some], pa.int64())], names=["a", "b"])
 
     # a is always the greater node
-    now = materialise(links.filter("a <> b").select("a", "b").mapInArrow(forest, "a long, b long").distinct())
+    now = materialise(arrow_stream(links.filter("a <> b").select("a", "b"), forest, "a long, b long").distinct())
     seen = None
     while True:
         state = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()  # rows are distinct, and no number of them overflows
@@ -183,7 +184,7 @@ def _blocks(left_over: DataFrame, payloads: DataFrame, prepare: Prepare, block:
         if group:
             yield _links(list(compare(group)))
 
-    return dealt.mapInArrow(each, "a long, b long")
+    return arrow_stream(dealt, each, "a long, b long")
 
 
 def _links(links: list[tuple[int, int]]) -> pa.RecordBatch:

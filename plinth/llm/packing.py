@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from plinth.llm.store import count_off, materialise
-from plinth.llm.words import REMEMBERED, arrow_map, own_array
+from plinth.llm.words import REMEMBERED, arrow_map, arrow_stream, own_array
 
 CAPACITY = 2048
 
@@ -249,7 +249,7 @@ def assign(pieces: DataFrame, order: list[str], capacity: int = CAPACITY) -> Dat
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(bins[rule] + far), pa.array(offsets[rule] + within * length)], names=[*names, "sequence_id", "offset"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return numbered.mapInArrow(place, f"{schema}, sequence_id long, offset long")
+    return arrow_stream(numbered, place, f"{schema}, sequence_id long, offset long")
 
 
 def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,6 +13,9 @@ from pyspark.sql import DataFrame
 
 #: Distinct words that a worker remembers at once; beyond that it starts anew.
 REMEMBERED = 400_000
+#: Bytes that come to a worker at once, and that a function sees of them.
+BATCH_BYTES, SLICE_BYTES = 8 << 20, 4 << 20
+_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def texts_of(column: pa.Array) -> list[bytes | None]:
@@ -66,13 +70,39 @@ def shingle_set(raw: bytes | None, width: int = 5) -> np.ndarray:
     return out[np.append(True, out[1:] != out[:-1])]
 
 
+def _give_back() -> None:
+    """Hand memory that was freed back to the system, for workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:
+        trim(0)
+
+
+def arrow_stream(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """mapInArrow by batches of bounded bytes: the session's limit on them is lowered to BATCH_BYTES."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_LIMIT).removesuffix("b")) <= BATCH_BYTES:
+        conf.set(_LIMIT, str(BATCH_BYTES))
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def trimmed() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch
+                del batch
+                _give_back()
+
+        yield from run(trimmed())
+        _give_back()
+
+    return df.mapInArrow(whole, schema)
+
+
 def arrow_map(df: DataFrame, each: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """mapInArrow with a function of one batch; a batch holds few rows where texts are long."""
+    """arrow_stream with a function of one batch; a batch holds few rows where texts are long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            step = max(1, min(batch.num_rows, batch.num_rows * (4 << 20) // max(batch.nbytes, 1)))
+            step = max(1, min(batch.num_rows, batch.num_rows * SLICE_BYTES // max(batch.nbytes, 1)))
             for at in range(0, batch.num_rows, step):
                 yield each(batch.slice(at, step))
 
-    return df.mapInArrow(run, schema)
+    return arrow_stream(df, run, schema)
