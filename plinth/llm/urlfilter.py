@@ -2,12 +2,22 @@
 
 The model is trained from a small labelled URL table. Its features are the character
 n-grams of host and path, hashed to a fixed number of slots and divided by the square
-root of their number. Training is gradient descent on the dual coefficients, one for
-each labelled URL, over the table's kernel matrix; it is one SQL expression, and gives
-one weight a slot. The table's size is bounded (MOST_LABELLED), so the matrix is too.
+root of their number. Training is accelerated gradient descent on the dual coefficients, one for
+each labelled URL, over the table's kernel matrix, until it has converged; a round of
+steps is one SQL expression, and the result is one weight a slot. The table's size is
+bounded (MOST_LABELLED), so the matrix is too. The step follows from the matrix's
+largest sum of a row, which bounds its eigenvalues, so it converges on any table.
+
+The built-in table holds common words of unwanted and of ordinary sites. THRESHOLD is
+chosen on names that the model was not trained on (held_out, choose_threshold): of all
+thresholds, the one with the most recall less four times the share of ordinary names
+blocked.
 
 Defined results: a null URL, or one without ``://``, has empty host and path, fits no
-rule and is judged by the model's bias alone; very long URLs are read whole.
+rule and is judged by the model's bias alone; very long URLs are read whole; of rules
+that fit and are equally long, the first wins; repeated URLs get the same verdict, and
+repeated labelled rows count once; an empty table gives no rows, and an empty labelled
+table a model that allows all; columns named like a result are replaced by it.
 """
 
 from __future__ import annotations
@@ -22,11 +32,14 @@ from plinth.llm.store import keep_names, materialise, release
 SIZES = (3, 4, 5)
 SLOTS = 1 << 15
 MOST_LABELLED = 512
-EPOCHS, RATE, SHRINK = 40, 0.03, 1e-2
+#: Penalty on the weights' squares; steps of a round; largest gradient at the end; most rounds.
+SHRINK, STEPS, TOLERANCE, ROUNDS = 1.0, 50, 1e-6, 200
 #: Square of the constant feature, whose weight is the bias.
 BIAS = 0.1
-#: Log odds above which a URL is blocked; URLs without any known sign lie near 0.
-THRESHOLD = 0.75
+#: Log odds above which a URL is blocked.
+THRESHOLD = 0.35
+#: Parts of the labelled names that are left out in turn to choose THRESHOLD, and what a good name that is blocked costs there.
+FOLDS, COST = 5, 4
 
 #: Rules: (verdict, host, path). A rule holds for its host and all subdomains.
 RULES: tuple[tuple[str, str, str], ...] = (
@@ -37,29 +50,31 @@ RULES: tuple[tuple[str, str, str], ...] = (
 )
 
 _BLOCKED = """
-casino-win lucky-casino casino-royale online-casino slots-jackpot free-bets best-bets sports-betting
-betting-odds poker-bonus cheap-pills discount-pills pills-online buy-viagra cheap-pharma adult-x
-adult-cams xxx-adult sexy-cams porn-tube spam-farm link-farm seo-spam ads-track
-track-ads adserver popup-ads click-track free-money win-prizes payday-loans replica-watches
+lucky-casino vegas-slots poker-bonus roulette-online jackpot-city sports-betting betting-odds bingo-prizes
+discount-pharmacy buy-viagra cialis-online diet-pills no-prescription-meds pharma-deals adult-webcams xxx-videos
+porn-tube sexy-singles escort-girls hot-dating popup-ads adserver banner-clicks click-tracker
+seo-backlinks spam-mailer link-exchange traffic-exchange free-money win-prizes payday-loans easy-credit
+replica-watches fake-designer-bags crypto-doubler cash-from-home miracle-cure lottery-winner cheap-software cracked-downloads
 """.split()
 _ALLOWED = """
-library museum university physics-notes school-district city-council weather the-herald
-science-journal recipes gardening travel-notes open-data developer-guide history theatre
-chess-club public-health northern-parks station-times orchestra astronomy language-lessons encyclopedia
-mathematics handbook nation-archive motion-study thermal-baths southend-water the-rather-good-bread onshore-winds
+library museum university physics-notes school-district city-council weather daily-herald
+science-journal recipes gardening travel-diary open-source developer-guide local-history theatre
+chess-club public-health northern-parks train-times orchestra astronomy language-school encyclopedia
+mathematics handbook national-archive bird-watching family-doctor book-reviews farmers-market photography
+fire-brigade law-review river-trust film-festival bakery bike-repair cathedral kindergarten
 """.split()
 #: How the names above become URLs: their hosts and paths.
-_HOSTS = ("www.{}.example.com", "{}.example.org", "m.{}.example.net", "blog.{}.example.com")
-_PATHS = ("/en/12", "/fr/345/", "/es/77.html", "/de/608")
+_HOSTS = ("{}.com", "www.{}.org", "{}.info", "shop.{}.co.uk")
+_PATHS = ("/", "/index.html", "/article/12", "/2024/05/", "/de/about", "/search")
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """The built-in labelled table: url, blocked (0 or 1). Every name comes under every host, with paths dealt alike."""
+    """The built-in labelled table: url, blocked (0 or 1), fold. Every name comes under every host, with paths dealt alike; a name is in one fold."""
     rows = []
     for blocked, names in ((1, _BLOCKED), (0, _ALLOWED)):
         for i, name in enumerate(names):
-            rows += [(f"https://{host.format(name)}{_PATHS[(i // 2 + j) % len(_PATHS)]}", blocked) for j, host in enumerate(_HOSTS)]
-    return spark.createDataFrame(rows, "url string, blocked int")
+            rows += [(f"https://{host.format(name)}{_PATHS[(i + j) % len(_PATHS)]}", blocked, i % FOLDS) for j, host in enumerate(_HOSTS)]
+    return spark.createDataFrame(rows, "url string, blocked int, fold int")
 
 
 def host_of(url: Column) -> Column:
@@ -90,16 +105,17 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] =
 def grams(text: Column, slots: int = SLOTS) -> Column:
     """The slots of text's n-grams, one entry for each gram of each size; any digit counts as 0."""
     text = F.translate(text, "123456789", "000000000")
-    parts = []
-    for n in SIZES:
+
+    def of_size(n: int) -> Column:
         starts = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - n + 1)).otherwise(F.array().cast("array<int>"))
-        parts.append(F.transform(starts, lambda i, n=n: F.pmod(F.xxhash64(F.substring(text, i, F.lit(n))), F.lit(slots)).cast("int")))
-    return F.concat(*parts)
+        return F.transform(starts, lambda i: F.pmod(F.xxhash64(F.substring(text, i, F.lit(n))), F.lit(slots)).cast("int"))
+
+    return F.concat(*map(of_size, SIZES))
 
 
 def train(labelled: DataFrame, slots: int = SLOTS) -> tuple[float, list[float]]:
     """Bias and one weight for each slot, from url and blocked of at most MOST_LABELLED rows."""
-    rows = labelled.filter(F.col("url").isNotNull() & F.col("blocked").isin(0, 1)).distinct()
+    rows = labelled.select("url", "blocked").filter(F.col("url").isNotNull() & F.col("blocked").isin(0, 1)).distinct()
     if (n := rows.count()) > MOST_LABELLED:
         raise ValueError(f"{n} labelled URLs; the table may have {MOST_LABELLED}")
     if not n:
@@ -125,24 +141,57 @@ def train(labelled: DataFrame, slots: int = SLOTS) -> tuple[float, list[float]]:
         F.transform("urls", lambda u: F.col("of")[u]["y"].cast("double")).alias("y"),
         F.transform("urls", lambda u: F.transform("urls", lambda v: F.coalesce(F.try_element_at(F.col("of")[u]["line"], v), F.lit(0.0)) + BIAS)).alias("k"),
     )
-    dot = lambda row, alpha: F.aggregate(F.zip_with(row, alpha, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
-    step = lambda alpha, _: F.transform(
-        F.arrays_zip(F.col("k").alias("k"), F.col("y").alias("y"), alpha.alias("a")),
-        lambda r: (1 - RATE * SHRINK) * r["a"] + RATE * (r["y"] - 1 / (1 + F.exp(-dot(r["k"], alpha)))),
-    )
+    total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda s, v: s + v)
+    dot = lambda row, alpha: total(F.zip_with(row, alpha, lambda p, q: p * q))
+    # no eigenvalue of the matrix is above the largest sum of a row
+    steep = SHRINK + F.array_max(F.transform("k", total)) / 4
+    root = F.sqrt(steep / SHRINK)
+    matrix = matrix.withColumns({"rate": 1 / steep, "push": (root - 1) / (root + 1)})
     matrix = materialise(matrix)  # else the expression for k would run again in every step
-    alpha = matrix.select("urls", F.aggregate(F.sequence(F.lit(1), F.lit(EPOCHS)), F.array_repeat(F.lit(0.0), n), step).alias("a"))
-    alpha = materialise(alpha)
+    downhill = lambda alpha: F.transform(F.arrays_zip(F.col("k").alias("k"), F.col("y").alias("y"), alpha.alias("a")), lambda r: r["y"] - 1 / (1 + F.exp(-dot(r["k"], alpha))) - SHRINK * r["a"])
+
+    def step(m: Column, _: Column) -> Column:
+        """Nesterov's: a step downhill from where the last move would lead."""
+        ahead = F.zip_with(m["a"], m["was"], lambda a, was: a + F.col("push") * (a - was))
+        return F.get(F.transform(F.array(ahead), lambda v: F.struct(F.zip_with(v, downhill(v), lambda a, d: a + F.col("rate") * d).alias("a"), m["a"].alias("was"))), F.lit(0))
+
+    none = F.array_repeat(F.lit(0.0), n)
+    alpha = materialise(matrix.withColumn("m", F.struct(none.alias("a"), none.alias("was"))))
+    for _ in range(ROUNDS):
+        moved = materialise(alpha.withColumn("m", F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), F.col("m"), step)))
+        release(alpha)
+        alpha = moved
+        if alpha.select(F.array_max(F.transform(downhill(F.col("m.a")), F.abs))).first()[0] <= TOLERANCE:
+            break
+    alpha = alpha.withColumn("a", F.col("m.a"))
     pairs = alpha.select(F.explode(F.arrays_zip("urls", "a")).alias("p")).select(F.col("p.urls").alias("url"), F.col("p.a").alias("a"))
     found = pairs.join(x, "url").groupBy("slot").agg(F.round(F.sum(F.col("a") * F.col("x") * F.col("rare")), 9).alias("w")).collect()  # at most one row a slot
     weights = [0.0] * slots
     for r in found:
         weights[r["slot"]] = r["w"]
     bias = alpha.select(F.round(F.aggregate("a", F.lit(0.0), lambda s, v: s + v) * BIAS, 9)).first()[0]
-    release(x, matrix, alpha)
+    release(x, matrix, moved)
     return bias, weights
 
 
+def held_out(labelled: DataFrame) -> list[tuple[float, int]]:
+    """(score, blocked) of every labelled URL (url, blocked, fold) by the model that is trained without its fold."""
+    out = []
+    for fold in range(FOLDS):
+        model = train(labelled.filter(F.col("fold") != fold))
+        text = F.concat(host_of(F.col("url")), path_of(F.col("url")))
+        out += [tuple(r) for r in labelled.filter(F.col("fold") == fold).select(score(text, model), "blocked").collect()]  # MOST_LABELLED rows at most
+    return out
+
+
+def choose_threshold(scored: list[tuple[float, int]]) -> float:
+    """The least threshold, in steps of 0.05, that gains most: recall less COST times the share of good URLs blocked."""
+    bad, good = ([s for s, b in scored if b == k] for k in (1, 0))
+    gain = lambda t: sum(s > t for s in bad) / len(bad) - COST * sum(s > t for s in good) / len(good)
+    steps = [i / 20 for i in range(-40, 41)]
+    return max(steps, key=lambda t: (round(gain(t), 9), -t))
+
+
 def score(text: Column, model: tuple[float, list[float]]) -> Column:
     """Log odds that a URL with this host and path is to be blocked."""
     bias, weights = model

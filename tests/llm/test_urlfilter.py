@@ -1,6 +1,8 @@
 import re
 
+import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from plinth.llm import queries, urlfilter
@@ -47,12 +49,61 @@ def test_odd_urls_and_clashing_names(spark, model):
     assert urlfilter.judge(df.limit(0), model).collect() == []
 
 
-def test_held_out_names(spark, model):
-    bad = ["mega-casino-bonus", "xxx-cams", "cheap-viagra-pills", "best-free-bets"]
-    good = ["harbour-museum", "school-library", "weather-station", "mathematics-journal"]
-    df = spark.createDataFrame([(f"https://www.{n}.example.com/es/5", n in bad) for n in bad + good], "url string, bad boolean")
-    got = urlfilter.judge(df, model, rules=()).collect()
-    assert sum((r["verdict"] == "block") == r["bad"] for r in got) >= 7
+def plain_grams(text):
+    text = re.sub("[1-9]", "0", text)
+    hashes = (xxhash.xxh64_intdigest(text[i : i + n].encode(), seed=42) for n in urlfilter.SIZES for i in range(len(text) - n + 1))
+    return [h % urlfilter.SLOTS for h in hashes]
+
+
+def plain_model(rows):
+    """Logistic regression by Newton's method on the same features: bias and weights."""
+    y = np.array([b for _, b in rows], float)
+    x = np.zeros((len(rows), urlfilter.SLOTS))
+    for i, (url, _) in enumerate(rows):
+        slots = plain_grams("".join(plain(url)[:2]))
+        np.add.at(x[i], slots, 1 / max(len(slots), 1) ** 0.5)
+    held = (x > 0).sum(0)
+    rare = np.where(held > 0, np.log((len(rows) + 1) / np.maximum(held, 1)), 0)
+    k = (x * rare) @ (x * rare).T + urlfilter.BIAS
+    a = np.zeros(len(rows))
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-k @ a))
+        a -= np.linalg.solve(urlfilter.SHRINK * np.eye(len(rows)) + (p * (1 - p))[:, None] * k, urlfilter.SHRINK * a - (y - p))
+    return urlfilter.BIAS * a.sum(), (x * rare).T @ a * rare
+
+
+def test_training_against_plain_newton(spark, model):
+    rows = [(r["url"], r["blocked"]) for r in urlfilter.labelled_urls(spark).collect()]
+    bias, weights = plain_model(rows)
+    assert model[0] == pytest.approx(bias, abs=1e-5)
+    assert np.abs(np.array(model[1]) - weights).max() < 1e-5
+
+
+def test_query_against_plain_model(spark, sf, model):
+    rows = [(r["url"], r["blocked"]) for r in urlfilter.labelled_urls(spark).collect()]
+    bias, weights = plain_model(rows)
+    urls = {r["page_id"]: r["url"] for r in spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url").collect()}
+    judged = 0
+    for r in queries.op6_url_filter(spark, sf).collect():
+        host, path, rule, _ = plain(urls[r["page_id"]])
+        slots = plain_grams(host + path)
+        odds = bias + sum(weights[s] for s in slots) / max(len(slots), 1) ** 0.5
+        if rule is None and abs(odds - urlfilter.THRESHOLD) > 1e-4:
+            judged += 1
+            assert r["verdict"] == ("block" if odds > urlfilter.THRESHOLD else "allow")
+    assert judged > 20
+
+
+def test_names_that_training_did_not_see(spark, model):
+    """No name of the table pages is a labelled one; the threshold is the one chosen on held-out names."""
+    labelled = urlfilter.labelled_urls(spark)
+    known = {*urlfilter._BLOCKED, *urlfilter._ALLOWED}
+    hosts = {r[0] for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select(urlfilter.host_of(F.col("url"))).distinct().collect()}
+    assert not any(label in known for h in hosts for label in h.split("."))
+    scored = urlfilter.held_out(labelled)
+    bad, good = ([s > urlfilter.THRESHOLD for s, b in scored if b == k] for k in (1, 0))
+    assert urlfilter.choose_threshold(scored) == urlfilter.THRESHOLD
+    assert len(bad) == len(good) == 160 and sum(bad) >= 0.35 * len(bad) and sum(good) <= 0.05 * len(good)
 
 
 def test_scores_are_the_models(spark, model):
