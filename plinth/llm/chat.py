@@ -1,9 +1,12 @@
 """Chat formatting by a finite-state machine over roles.
 
 A template declares, for each role, what opens and what closes a turn and whether its
-text counts for the loss, and which role may follow which state. Rows of turns become
-one formatted string a conversation, its segments with a loss flag each, and whether
-the roles' order is valid.
+text counts for the loss, and which role may follow which state. The machine reads a
+conversation's turns in order: from its state and a turn's role it moves to the next
+state and emits the turn's segments, each with a loss flag. So rows of turns become one
+formatted string a conversation, its segments, and whether the machine ends in a state
+that may end a conversation. Turns are read in blocks, so that appending to what has
+been emitted costs little however long a conversation is.
 
 Texts are escaped so that no control string of the template can occur in them: a
 backslash is doubled and one is put behind the first character of every control
@@ -11,9 +14,12 @@ string. ``parse`` reads roles and texts back exactly.
 
 Defined results: null texts and null roles are empty; rows of a null conv_id form one
 conversation; turns go by turn (null first), equal turns by role and text, and repeated
-rows stay; a role that the machine doesn't know makes a conversation invalid, yet it
-is formatted all the same. A conversation is one row, so one that doesn't fit a row
-doesn't fit this format; map-side lists keep its turns from being shuffled singly.
+rows stay; a role that the machine doesn't know, or that may not follow, leads to a
+state of its own that it never leaves: such a conversation is invalid, yet it is
+formatted all the same; an empty table gives no rows; other columns of the input are
+not read, so their names cannot clash. A conversation is one row, so one that doesn't
+fit a row doesn't fit this format; map-side lists keep its turns from being shuffled
+singly, and very long texts are kept whole.
 """
 
 from __future__ import annotations
@@ -80,34 +86,44 @@ def _role_in(role: Column) -> Column:
     return role
 
 
-def segments(turns: Column, template: Template = CHAT) -> Column:
-    """Of an array of struct(role, text): opening, text and closing of each turn, with loss flags."""
-    before, after = template.open.split("{role}")
+#: Turns that the machine reads at a stretch before what it emitted is appended to the rest.
+STRETCH = 512
+_MADE = "struct<state:string,segments:array<struct<text:string,loss:boolean>>>"
 
-    def three(t: Column) -> Column:
-        return F.array(
-            F.struct(F.concat(F.lit(before), _role_out(t["role"]), F.lit(after)).alias("text"), F.lit(False).alias("loss")),
-            F.struct(escape(t["text"], template).alias("text"), t["role"].isin(*template.trained).alias("loss")),
-            F.struct(F.lit(template.close).alias("text"), F.lit(False).alias("loss")),
-        )
 
-    return F.flatten(F.transform(turns, three))
+def emitted(turn: Column, template: Template = CHAT) -> Column:
+    """The segments of one turn, a struct(role, text): opening, text and closing."""
+    before, after = template.open.split("{role}")
+    part = lambda text, loss: F.struct(text.alias("text"), loss.alias("loss"))
+    return F.array(
+        part(F.concat(F.lit(before), _role_out(turn["role"]), F.lit(after)), F.lit(False)),
+        part(escape(turn["text"], template), turn["role"].isin(*template.trained)),
+        part(F.lit(template.close), F.lit(False)),
+    )
 
 
-def accepts(roles: Column, template: Template = CHAT) -> Column:
-    """Whether the machine accepts an array of roles."""
-    key = lambda s, r: F.concat(s, F.lit("\x1f"), r)
+def machine(turns: Column, template: Template = CHAT) -> Column:
+    """struct(state, segments): where an array of struct(role, text) leads, and all that is emitted on the way."""
     table = F.create_map(*(F.lit(x) for (s, r), to in template.moves.items() for x in (f"{s}\x1f{r}", to)))
-    end = F.aggregate(roles, F.lit(template.start), lambda s, r: F.coalesce(F.try_element_at(table, key(s, r)), F.lit(INVALID)))
-    return end.isin(*template.ends)
+    moved = lambda state, role: F.coalesce(F.try_element_at(table, F.concat(state, F.lit("\x1f"), role)), F.lit(INVALID))
+    made = lambda state, segments: F.struct(state.alias("state"), segments.alias("segments")).cast(_MADE)
+    read = lambda m, t: made(moved(m["state"], t["role"]), F.concat(m["segments"], emitted(t, template)))
+    nothing = F.array().cast("array<struct<text:string,loss:boolean>>")
+
+    def stretch(m: Column, at: Column) -> Column:
+        """The machine led over STRETCH turns more."""
+        new = F.aggregate(F.slice(turns, at, F.lit(STRETCH)), made(m["state"], nothing), read)
+        return F.get(F.transform(F.array(new), lambda x: made(x["state"], F.concat(m["segments"], x["segments"]))), F.lit(0))
+
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(turns), F.lit(1)), F.lit(STRETCH)), made(F.lit(template.start), nothing), stretch)
 
 
 def format_chats(rows: DataFrame, template: Template = CHAT, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """One row for each conversation: conv_id, formatted, segments (text, loss), valid."""
+    """One row for each conversation: conv_id, formatted, segments (text, loss), final_state, valid."""
     one = F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     grouped = rows.groupBy(F.col(conv_id).alias("conv_id")).agg(F.sort_array(F.collect_list(one)).alias("turns"))
-    cut = grouped.select("conv_id", segments(F.col("turns"), template).alias("segments"), accepts(F.transform("turns", lambda t: t["role"]), template).alias("valid"))
-    return cut.select("conv_id", F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"), "segments", "valid")
+    run = grouped.select("conv_id", machine(F.col("turns"), template).alias("made")).select("conv_id", "made.segments", F.col("made.state").alias("final_state"))
+    return run.select("conv_id", F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"), "segments", "final_state", F.col("final_state").isin(*template.ends).alias("valid"))
 
 
 def parse(formatted: Column, template: Template = CHAT) -> Column:

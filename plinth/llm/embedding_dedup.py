@@ -7,13 +7,16 @@ How many directions a bucket has grows with the logarithm of the number of vecto
 that chance meetings stay rare, and the number of tables follows from the recall
 asked for at the least cosine; above it recall only rises.
 
+Candidates are first compared by short sketches, the signs of other random projections.
 Equal vectors are one node. Links between nodes of one component are counted at the
 end, block against block within the component, so that each is counted once.
 
 Defined results: a vector that is null, empty, zero or holds a null or non-finite
 component is linked with nothing and is its own component; vectors of different
-dimensions are never linked; repeated rows are vectors of their own; a component's
-least id ignores null ids.
+dimensions are never linked; very long vectors are read whole; repeated rows are vectors
+of their own; rows that tie for the least id are all kept; a component's least id ignores
+null ids; an empty table gives no rows; other columns of the input are not read, so their
+names cannot clash.
 """
 
 from __future__ import annotations
@@ -28,12 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plinth.llm.linking import link
-from plinth.llm.store import materialise, release
+from plinth.llm.store import materialise, release, scoped
+from plinth.llm.words import arrow_stream
 
 LEAST_COSINE = 0.9
 WIDTH = 2.0
 #: Chance meetings that a vector may expect in a table, and misses allowed at LEAST_COSINE.
-BY_CHANCE, MISSED = 0.12, 0.005
+BY_CHANCE, MISSED = 0.5, 0.005
+#: Signs of projections in a sketch. Vectors at LEAST_COSINE differ in MOST_DIFFERENT of them or fewer but for one in a million; unrelated ones in half.
+SIGNS, MOST_DIFFERENT = 256, 65
 BLOCK = 512
 _SEED = 20_231
 
@@ -59,6 +65,15 @@ def unit(rows: list[bytes]) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def cosines_reach(a: np.ndarray, b: np.ndarray, least: float = LEAST_COSINE) -> np.ndarray:
+    """For all rows of a and b whether their cosine is least or more, at the bound by the one sum that decides everywhere here."""
+    product = a @ b.T
+    out = product >= least
+    for i, j in zip(*np.nonzero(np.abs(product - least) < 1e-9)):
+        out[i, j] = (a[i] * b[j]).sum() >= least
+    return out
+
+
 def linked(first: list[bytes], second: list[bytes], least: float = LEAST_COSINE) -> np.ndarray:
     out = np.zeros(len(first), bool)
     at = [i for i, (a, b) in enumerate(zip(first, second)) if len(a) == len(b)]
@@ -66,7 +81,7 @@ def linked(first: list[bytes], second: list[bytes], least: float = LEAST_COSINE)
         own = [i for i in at if len(first[i]) == size]
         for s in range(0, len(own), 4096):
             some = own[s : s + 4096]
-            out[some] = np.einsum("ij,ij->i", unit([first[i] for i in some]), unit([second[i] for i in some])) >= least
+            out[some] = (unit([first[i] for i in some]) * unit([second[i] for i in some])).sum(axis=1) >= least
     return out
 
 
@@ -80,28 +95,50 @@ def among(rows: list[bytes], least: float = LEAST_COSINE) -> Callable[[int], np.
     def row(i: int) -> np.ndarray:
         size, k = place[i]
         out = np.zeros(len(rows), bool)
-        out[at[size]] = units[size] @ units[size][k] >= least
+        out[at[size]] = (units[size] * units[size][k]).sum(axis=1) >= least
         return out
 
     return row
 
 
+def alike(first: list[bytes], second: list[bytes]) -> np.ndarray:
+    """Which pairs of sketches may belong to linked vectors."""
+    a, b = (np.frombuffer(b"".join(x), np.uint64).reshape(len(x), -1) for x in (first, second))
+    return np.bitwise_count(a ^ b).sum(axis=1) <= MOST_DIFFERENT
+
+
+def alike_among(sketches: list[bytes]) -> Callable[[int], np.ndarray]:
+    x = np.frombuffer(b"".join(sketches), np.uint64).reshape(len(sketches), -1)
+    return lambda i: np.bitwise_count(x ^ x[i]).sum(axis=1) <= MOST_DIFFERENT
+
+
+def signs(rows: np.ndarray) -> np.ndarray:
+    """The sketch of each normalised row: the signs of its projections, as bytes."""
+    directions = np.random.default_rng((_SEED, rows.shape[1], 1)).standard_normal((rows.shape[1], SIGNS))
+    return np.packbits(rows @ directions > 0, axis=1)
+
+
 def payloads(vectors: DataFrame, id_col: str, column: str) -> DataFrame:
-    """id, digest and payload (doubles) of each vector; both null if it can't be linked."""
+    """id, digest, payload (doubles) and sketch of each vector; null but for the id if it can't be linked."""
     picked = vectors.select(F.col(id_col).alias("id"), F.col(column).cast("array<double>").alias("v"))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
+            out: list[bytes | None] = []
             for v in batch.column(1):
                 x = v.values.to_numpy(zero_copy_only=False) if v.is_valid and len(v) and not v.values.null_count else None
                 good = x is not None and np.isfinite(x).all() and np.any(x)
                 out.append(np.ascontiguousarray(x + 0.0, np.float64).tobytes() if good else None)
             digests = [None if p is None else xxhash.xxh3_128_digest(p) for p in out]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(out, pa.binary())], names=["id", "digest", "payload"])
+            sketches: list[bytes | None] = [None] * len(out)
+            for size in {len(p) for p in out if p is not None}:
+                at = [i for i, p in enumerate(out) if p is not None and len(p) == size]
+                for i, row in zip(at, signs(unit([out[i] for i in at]))):
+                    sketches[i] = row.tobytes()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(out, pa.binary()), pa.array(sketches, pa.binary())], names=["id", "digest", "payload", "sketch"])
 
     kind = vectors.schema[id_col].dataType.simpleString()
-    return picked.mapInArrow(each, f"id {kind}, digest binary, payload binary")
+    return arrow_stream(picked, each, f"id {kind}, digest binary, payload binary, sketch binary")
 
 
 def keys_of(classes: DataFrame, k: int, tables: int) -> DataFrame:
@@ -129,7 +166,7 @@ def keys_of(classes: DataFrame, k: int, tables: int) -> DataFrame:
                     key ^= key >> np.uint64(32)
                     yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64).ravel()), pa.array(np.repeat(nodes[some], tables))], names=["key", "node"])
 
-    return classes.select("node", "payload").mapInArrow(each, "key long, node long")
+    return arrow_stream(classes.select("node", "payload"), each, "key long, node long")
 
 
 def _counted(members: DataFrame) -> DataFrame:
@@ -148,7 +185,7 @@ def _counted(members: DataFrame) -> DataFrame:
         total: dict[int, int] = {}
         for size in {len(r[6]) for r in a} & {len(r[6]) for r in b}:
             x, y = [r for r in a if len(r[6]) == size], [r for r in b if len(r[6]) == size]
-            hit = unit([r[6] for r in x]) @ unit([r[6] for r in y]).T >= LEAST_COSINE
+            hit = cosines_reach(unit([r[6] for r in x]), unit([r[6] for r in y]))
             if i == j:
                 np.fill_diagonal(hit, False)
             for own, n in zip(x, hit @ np.array([r[5] for r in y], np.int64)):
@@ -169,22 +206,23 @@ def _counted(members: DataFrame) -> DataFrame:
         if group:
             yield count(group)
 
-    return dealt.mapInArrow(each, "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
+    return arrow_stream(dealt, each, "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
 
 
+@scoped
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", column: str = "embedding") -> DataFrame:
     """One row for each vector: id, n_links, component_id (least id reachable), kept."""
     rows = materialise(payloads(vectors, id_col, column))
     classes = materialise(
         rows.filter("digest is not null")
         .groupBy("digest")
-        .agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("payload").alias("payload"))
+        .agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"), F.min("payload").alias("payload"), F.min("sketch").alias("sketch"))
         .withColumn("node", F.monotonically_increasing_id())
     )
     k, tables = shape(classes.count())
     keys = materialise(keys_of(classes, k, tables))
-    own = classes.select("node", "payload")  # short enough to be its own sketch
-    found = link(keys, own, lambda nodes: own.join(nodes, "node"), (linked, among), (linked, among))
+    own = classes.select("node", "payload")
+    found = link(keys, classes.select("node", F.col("sketch").alias("payload")), lambda nodes: own.join(nodes, "node"), (alike, alike_among), (linked, among))
     release(keys)
     named = classes.select("node", "digest", "least", "copies", "payload").join(found, "node", "left")
     members = materialise(named.filter("component is not null").select("component", "node", "copies", "payload"))
@@ -196,7 +234,9 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", column: str = "embe
         .join(least, "component", "left")
         .select("digest", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("reached", "least").alias("reached"))
     )
-    out = rows.select("id", "digest").join(materialise(table), "digest", "left")
+    known = rows.filter("digest is not null").select("id", "digest").join(materialise(table), "digest", "left")
+    # vectors that can't be linked would all meet in one task
+    out = known.unionByName(rows.filter("digest is null").select("id", "digest"), allowMissingColumns=True)
     component = F.coalesce("reached", "id")
     kept = F.when(component.isNull(), True).otherwise(F.col("id").eqNullSafe(component))
     return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), kept.alias("kept"))

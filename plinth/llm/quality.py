@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plinth.llm.store import join_small, keep_names, materialise, release
+from plinth.llm.store import join_small, keep_names, materialise, release, scoped
 from plinth.llm.words import arrow_map, own_array
 
 #: Least words, and most percent of words in repeated windows.
@@ -255,6 +255,7 @@ def compared(measured: DataFrame, refs: DataFrame, least_words: int = LEAST_COMM
     return arrow_map(joined, each, f"{schema}, chars_apart double, words_apart double, __p_near boolean")
 
 
+@scoped
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One narrow row for each document: id, the counts, the distances, base_failed and kept."""
     measured = materialise(measure(docs, text_col, lang_col, [id_col]))

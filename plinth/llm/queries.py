@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plinth.llm import chat, embedding_dedup, licences, minhash, mixing, packing, quality, sharding, tokencount, urlfilter
-from plinth.llm.store import materialise
+from plinth.llm import chat, embedding_dedup, licences, minhash, mixing, oracles, packing, quality, sharding, tokencount, urlfilter
+from plinth.llm.store import materialise, scoped
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,13 +25,14 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
-    return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "chars_apart", "words_apart")
+    return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *(F.round(c, 6).alias(c) for c in ("chars_apart", "words_apart")))
 
 
 #: The file of the tokenizer that packing counts by.
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+@scoped
 def packed(docs: DataFrame) -> DataFrame:
     """Where each piece of docs (doc_id, text) goes, without the tokens themselves."""
     pieces = packing.tokenise(docs, WORD_TOKENIZER)
@@ -75,6 +76,8 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length(loss).cast("long").alias("loss_chars"),
         F.sha2(loss, 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
+        "final_state",
+        "valid",
     )
 
 
@@ -117,8 +120,13 @@ QUERIES = {
 }
 
 
+_MOVES = " ".join(f"WHEN '{state}>{role}' THEN '{to}'" for (state, role), to in chat.CHAT.moves.items())
+
 #: SQL that the queries must agree with, where SQL can say it.
 ORACLE_SQL: dict[str, str] = {
+    "op1_embedding_near_dedup": oracles.OP1,
+    "op3_quality_rules": oracles.OP3,
+    "op5_minhash_near_dedup": oracles.OP5,
     "op7_chat_format": f"""
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT {HOSTILE[0]}, 0, 'user', '{HOSTILE[1]}' UNION ALL SELECT {HOSTILE[0]}, 1, 'assistant', '{HOSTILE[1]}'),
@@ -128,6 +136,8 @@ SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum(length('### ' || role || ': ') + length(text) + slashes + closings + ends + marks + 8) AS BIGINT) AS formatted_chars
+  CAST(sum(length('### ' || role || ': ') + length(text) + slashes + closings + ends + marks + 8) AS BIGINT) AS formatted_chars,
+  list_reduce(list_prepend('start', list(role ORDER BY turn, role, text)), lambda state, role: CASE state || '>' || role {_MOVES} ELSE 'invalid' END) AS final_state,
+  list_reduce(list_prepend('start', list(role ORDER BY turn, role, text)), lambda state, role: CASE state || '>' || role {_MOVES} ELSE 'invalid' END) = 'answered' AS valid
 FROM e GROUP BY conv_id""",
 }

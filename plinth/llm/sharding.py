@@ -8,7 +8,11 @@ within subtrees whose weights change, and a shard that comes as a region of its
 takes rows from all others and moves none between them.
 
 Only the key decides: null keys go to one shard, equal keys always meet, whatever the
-other columns hold. Rows with several key columns hash them together.
+other columns hold. Rows with several key columns hash them together. Of draws that tie
+the first child's wins; rows that tie for a slot get slots in any order; repeated rows get
+a slot each; very long texts are read whole; an empty table gives no rows. place keeps
+the input's columns, and replaces one of its result's name; shard_documents returns its
+own columns only.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plinth.llm.store import count_off, keep_names, materialise
+from plinth.llm.store import count_off, keep_names, materialise, scoped
 
 #: region -> rack -> shard -> weight
 Tree = dict[str, dict[str, dict[int, float]]]
@@ -80,6 +84,7 @@ def with_slots(placed: DataFrame, order: Sequence[str], shard: str = "shard", ou
     return count_off(placed, [shard], list(order), out, most)
 
 
+@scoped
 def shard_documents(docs: DataFrame, tree: Tree = EIGHT, id_col: str = "doc_id", text_col: str = "text", grown: Tree | None = None) -> DataFrame:
     """One row for each document: id, size (UTF-8 bytes plus 1), text_crc32, law, shard, slot, grown_shard.
 

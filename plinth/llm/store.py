@@ -5,7 +5,6 @@ from __future__ import annotations
 import atexit
 import functools
 import math
-import tempfile
 import uuid
 from collections.abc import Callable
 from contextvars import ContextVar
@@ -13,6 +12,8 @@ from contextvars import ContextVar
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from plinth.sources.files import shared_dir
+
 #: Rows and bytes up to which a side of a join is broadcast; both are counted every time.
 BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 16 << 20
 #: Rows that one salt of a hot key should hold.
@@ -23,20 +24,6 @@ _written: list[tuple[SparkSession, str]] = []
 _scope: ContextVar[list[DataFrame] | None] = ContextVar("_scope", default=None)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only a local session may leave it unset; then a temporary folder takes its place.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        found = tempfile.mkdtemp(prefix="plinth-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
 def materialise(df: DataFrame) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back.
 

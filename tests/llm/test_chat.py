@@ -37,6 +37,25 @@ def test_machine(spark):
     assert {c: r["valid"] for c, r in build(spark, rows).items()} == {1: False, 2: True, 3: True, 4: True, 5: False, 6: False, 7: False, 8: False}
 
 
+def test_the_query_runs_the_machine(spark, sf):
+    plan = queries.op7_chat_format(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert all(state in plan for state in ("briefed", "asked", "answered", "invalid"))
+
+
+def test_stretches_make_no_difference(spark, monkeypatch):
+    roles = ["system", *["user", "assistant"] * 6]
+    rows = [(1, i, r, f"t{i}", "") for i, r in enumerate(roles)] + [(2, i, r, f"t{i}", "") for i, r in enumerate(roles[:4])]
+    want = build(spark, rows)
+    assert want[1]["valid"] and want[1]["final_state"] == "answered" and not want[2]["valid"] and want[2]["final_state"] == "asked"
+    monkeypatch.setattr(chat, "STRETCH", 3)
+    assert build(spark, rows) == want
+
+
+def test_a_long_conversation(spark):
+    got = build(spark, [(1, i, "assistant" if i % 2 else "user", f"t{i}", "") for i in range(20_000)])[1]
+    assert got["valid"] and len(got["segments"]) == 60_000 and got["loss"] == "".join(f"t{i}" for i in range(1, 20_000, 2))
+
+
 def test_nulls_ties_repeats_and_empty(spark):
     rows = [(None, None, None, None, None), (None, None, None, None, None), (2, 1, "user", "b", ""), (2, 1, "user", "a", ""), (2, 1, "user", "a", "")]
     got = build(spark, rows)
