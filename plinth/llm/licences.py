@@ -4,10 +4,13 @@ A text falls into units at line ends and at ends of sentences. Normalised, one u
 several in a row may be a known licence sentence; so each text becomes a sequence of
 sentence identifiers with gaps between. Rules are ordered sequences of identifiers;
 they are tried in order, the more specific first, and a sentence serves one match only.
-Up to MOST_BETWEEN unknown units may stand between two sentences of a match.
+Anything may stand between two sentences of a match but the rule's own first sentence.
 
 Defined results: a null or empty text has no match; places count code points of the
-whole text, the end exclusive; a sentence that lines break is still one sentence.
+whole text, the end exclusive; a sentence that lines break is still one sentence; very
+long texts are read whole; of rules that tie for a sentence the first in order has it;
+repeated rows give the same matches; an empty table gives no rows; only the id and the
+matches are returned, so other columns' names cannot clash.
 """
 
 from __future__ import annotations
@@ -21,17 +24,20 @@ from pyspark.sql import functions as F
 
 from plinth.llm.words import arrow_map
 
-MOST_BETWEEN = 2
-
 # Sentences of licences and licence notices, as they are published.
 SENTENCES: dict[str, str] = {
     "cc-by-line": "Licensed under CC BY 4.0.",
     "cc-by-sa-line": "Licensed under CC BY-SA 4.0.",
     "cc-by-nc-line": "Licensed under CC BY-NC 4.0.",
     "cc-by-nd-line": "Licensed under CC BY-ND 4.0.",
+    "cc-by-nc-sa-line": "Licensed under CC BY-NC-SA 4.0.",
+    "cc-by-nc-nd-line": "Licensed under CC BY-NC-ND 4.0.",
     "cc-by-work": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "cc-by-sa-work": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "cc-by-nc-work": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "cc-by-nd-work": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "cc-by-nc-sa-work": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "cc-by-nc-nd-work": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
     "mit-line": "Released under the MIT License.",
     "mit-licensed": "Licensed under the MIT License.",
     "apache-line": "Licensed under the Apache License, Version 2.0.",
@@ -46,6 +52,10 @@ SENTENCES: dict[str, str] = {
     "apache-as-is": 'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.',
     "apache-limits": "See the License for the specific language governing permissions and limitations under the License.",
     "gpl-free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "gpl2-free": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "lgpl21-free": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "lgpl3-free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "agpl3-free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "gpl-hope": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
     "gpl-details": "See the GNU General Public License for more details.",
     "mit-grant": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:',
@@ -57,6 +67,9 @@ SENTENCES: dict[str, str] = {
     "bsd-source": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
     "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
     "bsd-names": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "zlib-as-is": "This software is provided 'as-is', without any express or implied warranty.",
+    "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    "bsl-line": "Distributed under the Boost Software License, Version 1.0.",
     "unlicense": "This is free and unencumbered software released into the public domain.",
     "cc0-line": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
 }
@@ -73,6 +86,13 @@ RULES: tuple[Rule, ...] = (
     ("Apache-2.0", "apache-short-header", ("apache-under", "apache-use")),
     ("GPL-3.0-or-later", "gpl-3-header", ("gpl-free", "gpl-hope", "gpl-details")),
     ("GPL-3.0-or-later", "gpl-3-grant", ("gpl-free",)),
+    ("GPL-2.0-or-later", "gpl-2-header", ("gpl2-free", "gpl-hope", "gpl-details")),
+    ("GPL-2.0-or-later", "gpl-2-grant", ("gpl2-free",)),
+    ("LGPL-2.1-or-later", "lgpl-21-grant", ("lgpl21-free",)),
+    ("LGPL-3.0-or-later", "lgpl-3-grant", ("lgpl3-free",)),
+    ("AGPL-3.0-or-later", "agpl-3-grant", ("agpl3-free",)),
+    ("Zlib", "zlib-text", ("zlib-as-is", "zlib-grant")),
+    ("BSL-1.0", "bsl-line", ("bsl-line",)),
     ("MPL-2.0", "mpl-2-header", ("mpl2-form", "mpl2-copy")),
     ("MPL-2.0", "mpl-2-form", ("mpl2-form",)),
     ("Apache-2.0", "apache-line", ("apache-line",)),
@@ -88,6 +108,11 @@ RULES: tuple[Rule, ...] = (
     ("CC-BY-NC-4.0", "cc-by-nc-line", ("cc-by-nc-line",)),
     ("CC-BY-NC-4.0", "cc-by-nc-work", ("cc-by-nc-work",)),
     ("CC-BY-ND-4.0", "cc-by-nd-line", ("cc-by-nd-line",)),
+    ("CC-BY-ND-4.0", "cc-by-nd-work", ("cc-by-nd-work",)),
+    ("CC-BY-NC-SA-4.0", "cc-by-nc-sa-line", ("cc-by-nc-sa-line",)),
+    ("CC-BY-NC-SA-4.0", "cc-by-nc-sa-work", ("cc-by-nc-sa-work",)),
+    ("CC-BY-NC-ND-4.0", "cc-by-nc-nd-line", ("cc-by-nc-nd-line",)),
+    ("CC-BY-NC-ND-4.0", "cc-by-nc-nd-work", ("cc-by-nc-nd-work",)),
     ("Unlicense", "unlicense", ("unlicense",)),
     ("CC0-1.0", "cc0-line", ("cc0-line",)),
 )
@@ -163,6 +188,7 @@ class Book:
         found = self.sentences(text) if text else []
         if not any(name for name, _, _ in found):
             return []
+        found = [x for x in found if x[0]]
         free = [name for name, _, _ in found]
         out = []
         for licence, rule, names in self.rules:
@@ -171,15 +197,12 @@ class Book:
             for at, name in enumerate(free):
                 if name != names[0]:
                     continue
-                places, gap = [at], 0
+                places = [at]
                 for nxt in range(at + 1, len(free)):
-                    if len(places) == len(names):
+                    if len(places) == len(names) or free[nxt] == names[0]:
                         break
                     if free[nxt] == names[len(places)]:
                         places.append(nxt)
-                        gap = 0
-                    elif (gap := gap + 1) > MOST_BETWEEN:
-                        break
                 if len(places) == len(names):
                     out.append((licence, rule, found[places[0]][1], found[places[-1]][2]))
                     for p in places:

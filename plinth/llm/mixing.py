@@ -9,8 +9,9 @@ gathered is one row for each source and bucket.
 
 Defined results: a null text or one without words has size 0 and is taken with its
 hash like any other; a null source is a source of its own, the last; rows that agree
-in id and text are taken together; an empty table gives an empty mix; input columns
-named like an output column are replaced by it.
+in id and text are taken together, and so are those whose hashes tie; very long texts are
+read whole; an empty table gives an empty mix; input columns named like an output column
+are replaced by it.
 """
 
 from __future__ import annotations

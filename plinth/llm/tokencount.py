@@ -11,7 +11,9 @@ A space becomes the vocabulary's space mark and one more mark goes before the te
 Where no piece has a mark behind another character and all scores are whole numbers,
 paths split at marks exactly, so words are counted once and remembered.
 
-Defined results: a null or empty text has no tokens; texts are counted whole.
+Defined results: a null or empty text has no tokens; texts are counted whole, very long
+ones too; repeated rows get the same count; an empty table gives no rows; only the id and
+the count are returned, so other columns' names cannot clash.
 """
 
 from __future__ import annotations

@@ -196,7 +196,14 @@ MIT = [licences.SENTENCES[n] for n in ("mit-grant", "mit-notice", "mit-as-is")]
         (None, []), ("", []), ("no licence here", []),
         ("Foo. Released under the MIT License.", [("MIT", "mit-line")]),
         ("foo\nLICENSED UNDER CC BY-NC 4.0.\nbar", [("CC-BY-NC-4.0", "cc-by-nc-line")]),
-        ("Licensed under CC BY-NC-SA 4.0.", []),
+        ("Licensed under CC BY-NC-SA 4.0.", [("CC-BY-NC-SA-4.0", "cc-by-nc-sa-line")]),
+        ("Licensed under CC BY-NC-XX 4.0.", []),
+        ("\n".join([MIT[0], *(f"Note {i} says so." for i in range(30)), MIT[1], "1.", "2.", MIT[2]]), [("MIT", "mit-text")]),
+        (MIT[0] + "\nx.\n" + MIT[0] + "\n" + MIT[1], [("MIT", "mit-grant-notice")]),
+        (licences.SENTENCES["gpl2-free"] + " " + licences.SENTENCES["gpl-hope"] + "\n\n" + licences.SENTENCES["gpl-details"], [("GPL-2.0-or-later", "gpl-2-header")]),
+        (licences.SENTENCES["lgpl21-free"], [("LGPL-2.1-or-later", "lgpl-21-grant")]),
+        (licences.SENTENCES["agpl3-free"], [("AGPL-3.0-or-later", "agpl-3-grant")]),
+        (licences.SENTENCES["zlib-as-is"] + "\nIn no event.\n" + licences.SENTENCES["zlib-grant"], [("Zlib", "zlib-text")]),
         ("We are not Released under the MIT License.", []),
         ("\n\n".join(MIT), [("MIT", "mit-text")]),
         (" ".join(MIT).replace("software and", "software\n  and"), [("MIT", "mit-text")]),
