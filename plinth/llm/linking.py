@@ -4,9 +4,9 @@ Nodes that share a key are candidates. In every bucket the nodes are paired with
 least node, so a bucket of n gives n - 1 pairs, and pairs that several buckets give are
 one. Short sketches drop pairs that cannot be links; the rest is verified in full, and
 links join components. A link that misses the least nodes of its buckets is found after
-that: the nodes that met one least node are a group, and in groups that still hold
-several components, nodes of different components are compared block by block, first by
-sketch, then, where any are alike, in full. Tasks hold two blocks of bounded size, and
+that: the nodes that met the least nodes of one component are a group, and in groups that
+still hold several components, nodes of different components are compared block by block,
+first by sketch, then, where any are alike, in full. Tasks hold two blocks of bounded size, and
 give flags or one link for each union, never all pairs. So a large group of near copies
 costs one comparison a node, and still no link within a bucket is lost.
 """
@@ -215,8 +215,10 @@ def link(
     members = pairs.select("a", "b").join(groups, "a").select(F.col("a").alias("key"), F.col("b").alias("node")).unionByName(groups.select(F.col("a").alias("key"), F.col("a").alias("node")))
     label = joined.select("node", "component")
     labelled = members.join(label, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    # groups whose least nodes are in one component are one group, so that a node is in it once
     mains = label.select(F.col("node").alias("key"), F.col("component").alias("of_key"))
-    labelled = materialise(labelled.join(mains, "key", "left").select("key", "node", "component", (F.col("component") == F.coalesce("of_key", "key")).alias("main")))
+    grouped = labelled.join(mains, "key", "left").select(F.coalesce("of_key", "key").alias("key"), "node", "component").distinct()
+    labelled = materialise(grouped.withColumn("main", F.col("component") == F.col("key")))
     open_ = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
     left_over = materialise(labelled.join(open_, "key", "left_semi"))
     flagged = materialise(_blocks(left_over, sketches, alike[1], SKETCH_BLOCK, True).select(F.col("a").alias("key"), F.col("b").alias("node")).distinct())
