@@ -17,7 +17,7 @@ from plinth.functions import urls
 from plinth.functions.html import parse_html
 from plinth.sources.files import settled
 
-# The address pattern, domains and local parts that the rules name.
+# The patterns of addresses, as they are and spelled out, domains and local parts that the rules name.
 LOCAL = r"[a-z0-9.!#$%&'*+/=?^_`{|}~-]+"
 LABEL = r"[a-z0-9](?:[a-z0-9-]{0,61}[a-z0-9])?"
 ADDRESS = rf"(?i)(?<![\w.+-]){LOCAL}@{LABEL}(?:\.{LABEL})+(?![\w.-])"
