@@ -6,7 +6,8 @@ one. Short sketches drop pairs that cannot be links; the rest is verified in ful
 links join components. A link that misses the least nodes of its buckets is found after
 that: the nodes that met the least nodes of one component are a group, and in groups that
 still hold several components, nodes of different components are compared block by block,
-first by sketch, then, where any are alike, in full. Tasks hold two blocks of bounded size, and
+first by sketch, then, where any are alike, in full. A group that fits a block is one task, to
+which each node goes once; of larger ones, tasks hold two blocks of bounded size. Tasks
 give flags or one link for each union, never all pairs. So a large group of near copies
 costs one comparison a node, and still no link within a bucket is lost.
 """
@@ -23,8 +24,8 @@ from pyspark.sql import functions as F
 from plinth.llm.store import is_small, materialise, release
 from plinth.llm.words import arrow_stream
 
-#: Nodes of a block when sketches are compared, and when payloads are, and a block's bytes; a task compares two blocks.
-SKETCH_BLOCK, BLOCK_NODES, BLOCK_BYTES = 2048, 512, 8 << 20
+#: Nodes of a block when sketches are compared, and when payloads are, and the payloads' bytes; a task holds two blocks at most.
+SKETCH_BLOCK, BLOCK_NODES, BLOCK_BYTES = 8192, 2048, 8 << 20
 
 #: Nodes whose sets a worker holds at once while it reduces links.
 FOREST_NODES = 1_000_000
@@ -130,15 +131,17 @@ def _blocks(left_over: DataFrame, payloads: DataFrame, prepare: Prepare, block:
     left_over: key, node, component, main.
 
     Nodes of the group's main component, that of its least node, are compared with
-    the others only, and the others with each other, block by block.
+    the others only, and the others with each other: in one task if the group fits a
+    block, else block by block. Sketches are short, so flags go by nodes alone.
     """
-    sized = left_over.join(payloads.select("node", F.octet_length("payload").alias("bytes")), "node")
+    sized = left_over.withColumn("bytes", F.lit(0)) if flag else left_over.join(payloads.select("node", F.octet_length("payload").alias("bytes")), "node")
     amount = lambda on, what: (F.sum(F.when(on, 1).otherwise(0)).alias(f"n_{what}"), F.sum(F.when(on, F.col("bytes").cast("long")).otherwise(0)).alias(f"bytes_{what}"))
     sizes = sized.groupBy("key").agg(*amount(F.col("main"), "main"), *amount(~F.col("main"), "other"))
     counted = left_over.join(sizes, "key")
     many = lambda what: F.greatest(F.ceil(F.col(f"n_{what}") / block), F.ceil(F.col(f"bytes_{what}") / BLOCK_BYTES), F.lit(1)).cast("int")
     of_main, of_other = many("main"), many("other")
     own = F.pmod(F.xxhash64("node"), F.when(F.col("main"), of_main).otherwise(of_other)).cast("int")
+    fits = (F.col("n_main") + F.col("n_other") <= block) & (F.col("bytes_main") + F.col("bytes_other") <= BLOCK_BYTES)
     upto = lambda n: F.sequence(F.lit(0), n - 1)
     group = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
     met = F.transform(upto(of_other), lambda x: group(1, x, F.col("own")))
@@ -146,7 +149,8 @@ def _blocks(left_over: DataFrame, payloads: DataFrame, prepare: Prepare, block:
         F.transform(upto(of_other), lambda x: group(0, F.least("own", x), F.greatest("own", x))),
         F.transform(upto(of_main), lambda x: group(1, F.col("own"), x)),
     )
-    groups = F.explode(F.when(F.col("main"), met).otherwise(meets)).alias("g")
+    alone = F.array(group(0, F.lit(0), F.lit(0)))
+    groups = F.explode(F.when(fits, alone).when(F.col("main"), met).otherwise(meets)).alias("g")
     rows = counted.withColumn("own", own).select("key", "node", "component", "main", "own", groups).select("key", "g.kind", "g.i", "g.j", "main", "own", "node", "component")
     full = rows.join(payloads, "node").select("key", "kind", "i", "j", "main", "own", "node", "component", "payload")
     dealt = full.repartition("key", "kind", "i", "j").sortWithinPartitions("key", "kind", "i", "j", "main", "own", "node")
@@ -160,7 +164,7 @@ def _blocks(left_over: DataFrame, payloads: DataFrame, prepare: Prepare, block:
         component = np.array([r[7] for r in group])
         flagged: set[int] = set()
         for at, r in enumerate(group):
-            if r[4] if kind else r[5] != i:
+            if r[4] or not kind and r[5] != i:
                 continue
             hits = np.flatnonzero(linked_with(at) & right & (component != component[at]))
             if flag:

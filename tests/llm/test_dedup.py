@@ -169,6 +169,18 @@ def test_small_blocks_find_what_large_ones_do(spark, monkeypatch):
     compare(spark, [(i, vary(r, base, 2), "", 0) for i in range(40)])
 
 
+def test_a_group_that_fits_a_block_is_dealt_once(spark, monkeypatch):
+    n, main = 1500, 600
+    left_over = spark.range(n).selectExpr("0L AS key", "id AS node", f"if(id < {main}, 0, id) AS component", f"id < {main} AS main")
+    payloads = spark.range(n).selectExpr("id AS node", "unhex('00') AS payload")
+    monkeypatch.setattr(linking, "arrow_stream", lambda df, run, schema: df)
+    for flag, block in ((True, linking.SKETCH_BLOCK), (False, linking.BLOCK_NODES)):
+        assert linking._blocks(left_over, payloads, None, block, flag).count() == n
+    assert linking._blocks(left_over, payloads, None, n - 1, False).count() == 2 * (n - main) + main
+    monkeypatch.setattr(linking, "BLOCK_BYTES", n - 1)
+    assert linking._blocks(left_over, payloads, None, linking.BLOCK_NODES, False).count() == 2 * (n - main) + main
+
+
 VECTORS = "vec_id long, embedding array<double>, digest string"
 
 
