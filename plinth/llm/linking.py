@@ -29,6 +29,8 @@ SKETCH_BLOCK, BLOCK_NODES, BLOCK_BYTES = 8192, 2048, 8 << 20
 
 #: Nodes whose sets a worker holds at once while it reduces links.
 FOREST_NODES = 1_000_000
+#: Links, reduced by partition, that one task joins at once, without rounds; their nodes are twice as many at most.
+ONE_TASK = 200_000
 
 #: Tells for payloads a[i] and b[i] whether the two are linked.
 Verify = Callable[[list[bytes], list[bytes]], np.ndarray]
@@ -83,7 +85,8 @@ def verified(pairs: DataFrame, payloads: DataFrame, verify: Verify) -> DataFrame
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of all nodes of links (a, b); a component is named by its least node.
 
-    Each partition first reduces its links to a forest. Then large stars and small
+    Each partition first reduces its links to a forest. Few that remain are reduced in one
+    task, which spares the driver the plans of all rounds. Else large stars and small
     stars take turns until nothing changes: a logarithmic number of rounds, each of two
     aggregations that combine before the shuffle and joins whose hot side can be split.
     """
@@ -106,8 +109,12 @@ def components(links: DataFrame) -> DataFrame:
 
     # a is always the greater node
     now = materialise(arrow_stream(links.filter("a <> b").select("a", "b"), forest, "a long, b long").distinct())
+    few = now.count() <= ONE_TASK
+    if few:
+        links, now = now, materialise(arrow_stream(now.coalesce(1), forest, "a long, b long"))
+        release(links)
     seen = None
-    while True:
+    while not few:
         state = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()  # rows are distinct, and no number of them overflows
         if state == seen or not state[0]:
             break

@@ -153,6 +153,17 @@ def test_components_of_a_long_chain(spark):
     assert linking.components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_few_links_take_no_rounds(spark, monkeypatch):
+    r = random.Random(4)
+    links = spark.createDataFrame([(r.randrange(500), r.randrange(500)) for _ in range(300)], "a long, b long").repartition(5)
+    written = []
+    monkeypatch.setattr(linking, "materialise", lambda df: written.append(df) or store.materialise(df))
+    few = sorted(map(tuple, linking.components(links).collect()))
+    assert len(written) == 2
+    monkeypatch.setattr(linking, "ONE_TASK", 0)
+    assert sorted(map(tuple, linking.components(links).collect())) == few
+
+
 def test_components_of_many_links(spark):
     n = 120_000  # the sum of so many 48-bit hashes passes 63 bits
     links = spark.range(n).selectExpr("3 * id + 1 AS a", "3 * id AS b").unionByName(spark.range(n).selectExpr("3 * id + 2 AS a", "3 * id + 1 AS b"))
