@@ -17,8 +17,9 @@ WAITLIST = ("waitlist", "wait list")
 CLOSED = ("not accepting new clients", "unable to accept new clients", "not currently accepting clients")
 
 # Patterns of amounts, of telephone numbers (whose digits are ASCII alone, as \d is here), and of a list of specialties.
-MONEY = r"\$\s?[0-9,]+(?:\s*(?:-|–|to)\s*\$?\s?[0-9,]+)?"
-PHONE = r"(?:\+1\s*)?\(?[0-9]{3}\)?[-.\s][0-9]{3}[-.\s][0-9]{4}"
+# White space is named, for \s takes in a vertical tab here and not in SQL; a record's texts have single spaces only.
+MONEY = r"\$[\t\n\f\r ]?[0-9,]+(?:[\t\n\f\r ]*(?:-|–|to)[\t\n\f\r ]*\$?[\t\n\f\r ]?[0-9,]+)?"
+PHONE = r"(?:\+1[\t\n\f\r ]*)?\(?[0-9]{3}\)?[-.\t\n\f\r ][0-9]{3}[-.\t\n\f\r ][0-9]{4}"
 SPECIALIZE = r"(?i)I specialize in\s+(.+?)(?:\.|I accept|I see|$)"
 
 
