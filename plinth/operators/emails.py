@@ -160,12 +160,13 @@ def score(observations: DataFrame, sites: DataFrame) -> DataFrame:
     """site_id, email, score, rank, pages, sources of observations (site_id, page_url, email, source).
 
     sites: site_id, website_url, first_name, last_name. One aggregation by site and
-    address, which combines before its shuffle.
+    address, which combines before its shuffle. A null site_id is a site like others;
+    a null page_url is no page.
     """
-    priced = observations.select("site_id", "email", "source", F.struct(urls.url_priority(F.col("page_url")).alias("priority"), F.col("page_url").alias("url")).alias("page"), page_bonus(F.col("page_url")).alias("bonus"))
+    priced = observations.select("site_id", "email", "source", F.when(F.col("page_url").isNotNull(), F.struct(urls.url_priority(F.col("page_url")).alias("priority"), F.col("page_url").alias("url"))).alias("page"), page_bonus(F.col("page_url")).alias("bonus"))
     grouped = priced.groupBy("site_id", "email").agg(F.sort_array(F.collect_set("page")).alias("pages"), F.sort_array(F.collect_set("source")).alias("sources"), F.max("bonus").alias("bonus"))
-    known = sites.select("site_id", "website_url", "first_name", "last_name")
-    joined = grouped.join(known, "site_id", "left").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("site_id")))
+    known = sites.select(F.col("site_id").alias("_site"), "website_url", "first_name", "last_name")
+    joined = grouped.join(known, F.col("site_id").eqNullSafe(F.col("_site")), "left").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("site_id")))
     local, domain = F.substring_index("email", "@", 1), F.substring_index("email", "@", -1)
     named, branded = name_bonus(local, F.col("first_name"), F.col("last_name")), domain_bonus(domain, F.col("website_url"))
     low = F.lit(False)
