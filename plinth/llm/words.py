@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,11 +10,12 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 
+from plinth.functions import batches as arrow_batches
+
 #: Distinct words that a worker remembers at once; beyond that it starts anew.
 REMEMBERED = 400_000
-#: Bytes that come to a worker at once, and that a function sees of them.
-BATCH_BYTES, SLICE_BYTES = 8 << 20, 4 << 20
-_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes that a function sees of a batch at once.
+SLICE_BYTES = 4 << 20
 
 
 def texts_of(column: pa.Array) -> list[bytes | None]:
@@ -70,28 +70,19 @@ def shingle_set(raw: bytes | None, width: int = 5) -> np.ndarray:
     return out[np.append(True, out[1:] != out[:-1])]
 
 
-def _give_back() -> None:
-    """Hand memory that was freed back to the system, for workers live on between tasks."""
-    pa.default_memory_pool().release_unused()
-    if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:
-        trim(0)
-
-
 def arrow_stream(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow by batches of bounded bytes: the session's limit on them is lowered to BATCH_BYTES."""
-    conf = df.sparkSession.conf
-    if not 0 < int(conf.get(_LIMIT).removesuffix("b")) <= BATCH_BYTES:
-        conf.set(_LIMIT, str(BATCH_BYTES))
+    """mapInArrow by batches of bounded bytes: the session's limit on them is lowered."""
+    arrow_batches.bound(df.sparkSession)
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def trimmed() -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 yield batch
                 del batch
-                _give_back()
+                arrow_batches.give_back()
 
         yield from run(trimmed())
-        _give_back()
+        arrow_batches.give_back()
 
     return df.mapInArrow(whole, schema)
 

@@ -6,15 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plinth.functions import urls
-from plinth.functions.html import parse_html
+from plinth.functions.html import parse_anchors
 
 _NO_PAGE = ("#", "mailto:", "tel:", "javascript:")
 
 
 def anchors(pages: DataFrame, html: str = "html") -> DataFrame:
     """pages without html, a row for each anchor: pos, href, rel, aria, text."""
-    parsed = pages.withColumn("_p", parse_html(F.col(html))).drop(html)
-    return parsed.select("*", F.explode("_p.anchors").alias("_a")).select(*(c for c in parsed.columns if c != "_p"), "_a.pos", "_a.href", "_a.rel", "_a.aria", F.col("_a.text").alias("label"))
+    parsed = pages.withColumn("_p", parse_anchors(F.col(html))).drop(html)
+    return parsed.select("*", F.explode("_p").alias("_a")).select(*(c for c in parsed.columns if c != "_p"), "_a.pos", "_a.href", "_a.rel", "_a.aria", F.col("_a.text").alias("label"))
 
 
 def listing_links(pages: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
+import pandas as pd
 from pyspark.sql import functions as F
 
-from plinth.functions import html, text
+from plinth.functions import batches, html, text
 from plinth.operators import crawl, emails, links, practice, profile
 from plinth.plans import samples
 
@@ -118,3 +119,16 @@ def test_url_hint_is_substring_and_pages_are_unique(spark):
     row = classified(spark, [("https://a.test/our-team", ""), ("https://A.test/our-team/", ""), ("https://a.test/steam", "")], "https://www.a.org/x")
     assert row["category"] == "private_practice"  # 18 + 3 + 20 against 45
     assert row["category_evidence"] == ["Only 2 same-site pages were collected (private +45)."]
+
+
+def test_pages_come_in_bounded_batches(spark):
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(limit, str(64 << 20))
+    long = "<p>" + "x" * html.SLICE_CHARS
+    pages = spark.createDataFrame([(1, "<a href='/a'>A</a>" + long + "<a href='/b'>B</a>"), (2, None), (3, "<a href=/c>C</a>" * 3), (4, long)], "k int, html string").coalesce(1)
+    got = sorted(map(tuple, links.anchors(pages).select("k", "href", "label").collect()))
+    assert got == [(1, "/a", "A"), (1, "/b", "B"), *[(3, "/c", "C")] * 3]
+    assert int(spark.conf.get(limit)) == batches.BATCH_BYTES
+    column = pd.Series(["x" * (html.SLICE_CHARS // 4), None] * 10)
+    cut = list(html.slices(iter([column, pd.Series([], dtype="object")])))
+    assert pd.concat(cut).tolist() == column.tolist() and max(s.str.len().sum() for s in cut) <= html.SLICE_CHARS and len(cut) == 3
