@@ -6,7 +6,8 @@ import atexit
 import functools
 import math
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -16,6 +17,9 @@ from plinth.sources.files import shared_dir
 
 #: Rows and bytes up to which a side of a join is broadcast; both are counted every time.
 BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 16 << 20
+#: Bytes, as Spark estimates them, up to which a side that nobody counted is broadcast; the estimate goes by compressed columns and may be a small part of the truth.
+UNCOUNTED_BYTES = 256 << 10
+_AUTO, _ADAPTIVE = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
 #: Rows that one salt of a hot key should hold.
 ROWS_PER_SALT = 100_000
 
@@ -24,15 +28,32 @@ _written: list[tuple[SparkSession, str]] = []
 _scope: ContextVar[list[DataFrame] | None] = ContextVar("_scope", default=None)
 
 
+@contextmanager
+def counted_broadcasts(spark: SparkSession) -> Iterator[None]:
+    """What runs inside broadcasts what is marked so, and by Spark's own estimate no more than UNCOUNTED_BYTES."""
+    before = {k: spark.conf.get(k, None) for k in (_AUTO, _ADAPTIVE)}
+    spark.conf.set(_AUTO, str(min(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold(), UNCOUNTED_BYTES)))
+    if before[_ADAPTIVE] and not before[_ADAPTIVE].startswith("-"):
+        spark.conf.unset(_ADAPTIVE)  # the other one holds
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is not None:
+                spark.conf.set(k, v)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back.
 
     Unlike a checkpoint of an RDD this keeps column pruning and compression, and
-    like one it survives the loss of any executor. ``release`` drops it early.
+    like one it survives the loss of any executor. ``release`` drops it early. Its joins
+    are by counted_broadcasts, so the driver builds no large table.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/plinth/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with counted_broadcasts(spark):
+        df.write.parquet(path)
     _written.append((spark, path))
     out = spark.read.schema(df.schema).parquet(path)
     out._plinth_path = path
@@ -115,7 +136,7 @@ def join_small(df: DataFrame, small: DataFrame, keys: list[str], salt: Column, h
         return df.alias("_a").join(F.broadcast(small).alias("_b"), same("_a", "_b", keys), how).select(*pick)
     n = 32
     salted = df.withColumn("__p_salt", F.pmod(salt, F.lit(n)).cast("int"))
-    copies = small.withColumn("__p_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    copies = small.withColumn("__p_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).hint("merge")  # the copies are not in Spark's estimate
     return salted.alias("_a").join(copies.alias("_b"), same("_a", "_b", [*keys, "__p_salt"]), how).select(*pick)
 
 
